@@ -14,7 +14,7 @@ _SPACE = b" \t\n\v\f\r"
 _DROP = _SPACE + bytes(range(0x80, 0xC0))
 _SYMBOLS = b"#*$%&|<>"
 #: Measures that the method judges: name -> (least width of the fence above the upper quartile, fence below as well?).
-MEASURES = {"symbol_rate": (0.10, False), "dup_line_rate": (0.30, False), "repeat_rate": (0.25, False), "mean_word": (3.0, True)}
+MEASURES = {"symbol_rate": (0.10, False), "dup_line_rate": (0.50, False), "repeat_rate": (0.40, False), "mean_word": (3.0, True)}
 #: Fences stand so many interquartile ranges away from the quartiles.
 WIDTH = 6.0
 #: Groups of fewer rows take the fences of their language, and if that has too few too, of all rows.
