@@ -3,9 +3,10 @@
 1. Each text becomes its set of 64-bit shingle hashes. Equal sets are one node from then on.
 2. Shingles have a global order: those frequent somewhere last (by their counts), the rest by hash. Two sets of the required
    similarity share a shingle in their prefixes (the first n - ceil(t n) + 1 in that order). Prefixes are dealt out by shingle.
-3. In each group of nodes with a common prefix shingle, every node is first tested with one pivot; most near copies are
-   joined by that, without a row for each two of them.
-4. Only where a group still holds several components, its remaining pairs across components are tested.
+3. Behind its prefix a set has need(n) - 1 shingles; so linked sets share so many in their prefixes that a node whose groups
+   (nodes with a common prefix shingle) are too few is left out, and likewise a pair.
+4. In each group every node is first tested with one pivot; most near copies are joined by that, without a row for each two
+   of them. Only where a group still holds several components, its remaining pairs across components are tested.
 Tests are T-occurrence searches (DivideSkip): of the query's inverted lists the short ones are merged by a heap, the long
 ones are probed by bisection, and what reaches the overlap is kept.
 """
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import scratch, small
@@ -208,31 +209,32 @@ def node(s: np.ndarray) -> int:
 
 
 def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """g, node, pivot: nodes that share a prefix shingle (g stands for all shingles with the same nodes), the pivot the least.
+    """g, node, n, pivot, w: nodes that share prefix shingles; g stands for the w shingles that just these nodes share, and
+    the pivot is the least node.
 
     Entries of rare shingles travel as packed blocks; those of frequent ones, of which there may be very many, as rows that
-    aggregate on the way.
+    aggregate on the way. Nodes that share too few shingles in all are left out.
     """
     spark = nodes.sparkSession
     n_buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
     shared = spark.sparkContext.broadcast(frequent)
 
+    def entries(batch: pa.RecordBatch, often: bool) -> tuple[np.ndarray, np.ndarray]:
+        keys, lists = shared.value, batch.column(1)
+        h = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        owner = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+        known = keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h if len(keys) else np.zeros(len(h), bool)
+        return h[known == often], owner[known == often]
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = shared.value
         for batch in batches:
-            lists = batch.column(1)
-            h = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            owner = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            h, owner = entries(batch, False)
             bucket = (h % np.uint64(n_buckets)).astype(np.int64)
-            if len(keys):
-                bucket[keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h] = -1
             order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(-1, n_buckets + 1))
-            rows = [{"b": b - 1, "h": h[o].tobytes(), "node": owner[o].tobytes()} for b in range(n_buckets + 1) if len(o := order[cuts[b] : cuts[b + 1]])]
+            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+            rows = [{"b": b, "h": h[o].tobytes(), "node": owner[o].tobytes()} for b in range(n_buckets) if len(o := order[cuts[b] : cuts[b + 1]])]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("b", pa.int64()), ("h", pa.binary()), ("node", pa.binary())]))
 
-    dealt = scratch(nodes.select("node", "prefix").mapInArrow(deal, "b long, h binary, node binary"), "prefixes")
-
     def gather(table: pa.Table) -> pa.Table:
         h = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()])
         owner = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("node").to_pylist()])
@@ -240,26 +242,43 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
         h, owner = h[order], owner[order]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         ends = np.append(starts[1:], len(h))
-        seen, out = set(), ([], [], [])
+        held: dict[bytes, int] = {}
         for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
-            members = owner[a:b]
-            g = node(members.view(np.uint64))
-            if g not in seen:
-                seen.add(g)
-                for c, v in zip(out, (np.full(b - a, g), members, np.full(b - a, members[0]))):
-                    c.append(v)
-        return pa.table({name: pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for name, c in zip(("g", "node", "pivot"), out)})
-
-    rare = dealt.where("b >= 0").groupBy("b").applyInArrow(gather, "g long, node long, pivot long").distinct()
+            members = owner[a:b].tobytes()
+            held[members] = held.get(members, 0) + 1
+        out = ([], [], [], [])
+        for members, w in held.items():
+            m = np.frombuffer(members, np.int64)
+            for c, v in zip(out, (np.full(len(m), node(m.view(np.uint64))), m, np.full(len(m), m[0]), np.full(len(m), w))):
+                c.append(v)
+        return pa.table({name: pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for name, c in zip(("g", "node", "pivot", "w"), out)})
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, owner in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(owner, np.int64))], names=["g", "node"])
+            h, owner = entries(batch, True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(owner)], names=["g", "node"])
 
-    often = scratch(dealt.where("b < 0").select("h", "node").mapInArrow(unpack, "g long, node long"), "prefixes")
+    slim = nodes.select("node", "prefix")
+    rare = slim.mapInArrow(deal, "b long, h binary, node binary").groupBy("b").applyInArrow(gather, "g long, node long, pivot long, w long")
+    rare = rare.groupBy("g", "node", "pivot").agg(F.sum("w").alias("w"))
+    often = scratch(slim.mapInArrow(unpack, "g long, node long"), "frequent")
     pivots = often.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
-    return scratch(rare.unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "pivot")), "groups")
+    all_groups = scratch(rare.unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "pivot", F.lit(1).cast("long").alias("w"))), "groups")
+    # nodes whose groups may suffice; without the others some groups have new pivots or are gone
+    enough = all_groups.groupBy("node").agg(F.sum("w").alias("shared")).join(nodes.select("node", "n"), "node").where(F.col("shared") >= F.greatest(F.lit(1), _ceil(2 * SHARE * F.col("n"), OF + SHARE) - _ceil(SHARE * F.col("n"), OF) - 1))
+    left = scratch(all_groups.drop("pivot").join(small(enough.select(F.col("node").alias("__n"), "n")), F.col("node") == F.col("__n")).drop("__n"), "groups")
+    pivots = left.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
+    return scratch(left.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "n", "pivot", "w"), "groups")
+
+
+def _ceil(a: Column, b: int) -> Column:
+    return F.ceil(a / F.lit(b) - F.lit(1e-9)).cast("long")
+
+
+def _may_link(n: Column, m: Column, shared: Column) -> Column:
+    """Whether sets of n and m shingles that share at most `shared` in their prefixes can be linked."""
+    behind = F.least(_ceil(SHARE * n, OF), _ceil(SHARE * m, OF)) - 1
+    return (OF * F.least(n, m) >= SHARE * F.greatest(n, m)) & (shared + behind >= _ceil(SHARE * (n + m), OF + SHARE))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -324,9 +343,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = scratch(_sets(narrow, frequent, rank), "sets")
     nodes = scratch(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"), F.first("n").alias("n")), "nodes")
     groups = _groups(nodes, frequent)
-    pairs = groups.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    pairs = scratch(_long_enough(pairs, nodes), "pairs")
-    involved = scratch(pairs.select(F.col("a").alias("node")).union(groups.where("node <> pivot").select("node")).union(groups.select("pivot")).distinct(), "involved")
+    totals = groups.groupBy("node").agg(F.sum("w").alias("total"), F.first("n").alias("n"))
+    sides = [totals.select(F.col("node").alias(c), F.col("total").alias(f"total_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab"]
+    pairs = groups.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.sum("w").alias("w")).join(sides[0], "a").join(sides[1], "b")
+    # groups in which b is not the pivot may hold both as well
+    most = F.col("w") + F.least(F.col("total_a") - F.col("w"), F.col("total_b") - F.col("w"))
+    pairs = scratch(pairs.where(_may_link(F.col("n_a"), F.col("n_b"), most)).select("a", "b"), "pairs")
+    involved = groups.select("node").distinct()
     # the sets of nodes that may have a link, from one row each
     owners = small(rows.join(small(involved), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
     few = narrow.join(owners, narrow["doc_id"].eqNullSafe(owners["doc_id"]), "left_semi")
@@ -340,12 +363,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = scratch(_verify(pairs, sets), "links")
     first = components(links)
     # pairs across components in groups that hold several
-    rooted = groups.join(first.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").select("g", "node", "pivot", F.coalesce("root", "node").alias("root"))
+    rooted = groups.join(first.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").select("g", "node", "n", "w", F.coalesce("root", "node").alias("root"))
     several = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("g").alias("__g"))
-    left = scratch(rooted.join(small(several), F.col("g") == F.col("__g")).drop("__g").join(nodes.select(F.col("node").alias("__n"), "n"), F.col("node") == F.col("__n")).drop("__n"), "rest")
+    left = scratch(rooted.join(small(several), F.col("g") == F.col("__g")).drop("__g"), "rest")
     x, y = left.alias("x"), left.alias("y")
-    across = (F.col("x.g") == F.col("y.g")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") != F.col("x.pivot")) & (OF * F.least("x.n", "y.n") >= SHARE * F.greatest("x.n", "y.n"))
-    rest = scratch(x.join(y, across).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
+    across = (F.col("x.g") == F.col("y.g")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (OF * F.least("x.n", "y.n") >= SHARE * F.greatest("x.n", "y.n"))
+    rest = x.join(y, across).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.sum("x.w").alias("w"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
+    rest = scratch(rest.where(_may_link(F.col("n"), F.col("m"), F.col("w"))).select("a", "b"), "pairs")
     if not rest.isEmpty():
         links = scratch(links.union(_verify(rest, sets)), "links")
         first = components(links)
@@ -356,12 +380,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _long_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose sizes alone don't rule a link out."""
-    a, b = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in ("a", "b"))
-    return pairs.join(a, "a").join(b, "b").where(OF * F.least("n_a", "n_b") >= SHARE * F.greatest("n_a", "n_b")).select("a", "b")
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the rows that another stands for: of each component the row with the least doc_id stays, with its columns.
 
