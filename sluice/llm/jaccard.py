@@ -5,8 +5,9 @@
    similarity share a shingle in their prefixes (the first n - ceil(t n) + 1 in that order). Prefixes are dealt out by shingle.
 3. Behind its prefix a set has need(n) - 1 shingles; so linked sets share so many in their prefixes that a node whose groups
    (nodes with a common prefix shingle) are too few is left out, and likewise a pair.
-4. In each group every node is first tested with one pivot; most near copies are joined by that, without a row for each two
-   of them. Only where a group still holds several components, its remaining pairs across components are tested.
+4. Each node is first tested with one other, of those that are the least of its groups the one that shares the most; then
+   each component with another. Near copies are joined by that without a row for each two of them. Only where a group still
+   holds several components, all its remaining pairs across components are tested.
 Tests are T-occurrence searches (DivideSkip): of the query's inverted lists the short ones are merged by a heap, the long
 ones are probed by bisection, and what reaches the overlap is kept.
 """
@@ -29,6 +30,8 @@ from .common import scratch, small
 WORDS, SHARE, OF = 5, 80, 100
 #: Shingles that count as frequent are put last in the order: the most frequent of those that LEAST of a task's HELD last hashes have.
 FREQUENT, LEAST, HELD = 50_000, 12, 1 << 21
+#: Rounds in which components are tested with one other, before all that is left is.
+STARS = 3
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -343,12 +346,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = scratch(_sets(narrow, frequent, rank), "sets")
     nodes = scratch(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"), F.first("n").alias("n")), "nodes")
     groups = _groups(nodes, frequent)
-    totals = groups.groupBy("node").agg(F.sum("w").alias("total"), F.first("n").alias("n"))
-    sides = [totals.select(F.col("node").alias(c), F.col("total").alias(f"total_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab"]
-    pairs = groups.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.sum("w").alias("w")).join(sides[0], "a").join(sides[1], "b")
-    # groups in which b is not the pivot may hold both as well
-    most = F.col("w") + F.least(F.col("total_a") - F.col("w"), F.col("total_b") - F.col("w"))
-    pairs = scratch(pairs.where(_may_link(F.col("n_a"), F.col("n_b"), most)).select("a", "b"), "pairs")
     involved = groups.select("node").distinct()
     # the sets of nodes that may have a link, from one row each
     owners = small(rows.join(small(involved), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
@@ -360,26 +357,49 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "s"])
 
     sets = scratch(few.select("text").mapInArrow(pack, "node long, s binary").groupBy("node").agg(F.first("s").alias("s")), "shingles")
-    links = scratch(_verify(pairs, sets), "links")
-    first = components(links)
+    links, roots = None, None
+    for _ in range(STARS):
+        left = _several(groups, roots)
+        pairs = scratch(_star(left), "pairs")
+        found = scratch(_verify(pairs, sets), "links")
+        if roots is not None and found.isEmpty():
+            break
+        links = found if links is None else scratch(links.union(found), "links")
+        roots = components(links)
     # pairs across components in groups that hold several
-    rooted = groups.join(first.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").select("g", "node", "n", "w", F.coalesce("root", "node").alias("root"))
-    several = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("g").alias("__g"))
-    left = scratch(rooted.join(small(several), F.col("g") == F.col("__g")).drop("__g"), "rest")
+    left = _several(groups, roots)
     x, y = left.alias("x"), left.alias("y")
     across = (F.col("x.g") == F.col("y.g")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (OF * F.least("x.n", "y.n") >= SHARE * F.greatest("x.n", "y.n"))
     rest = x.join(y, across).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.sum("x.w").alias("w"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
     rest = scratch(rest.where(_may_link(F.col("n"), F.col("m"), F.col("w"))).select("a", "b"), "pairs")
     if not rest.isEmpty():
         links = scratch(links.union(_verify(rest, sets)), "links")
-        first = components(links)
-    named = nodes.select("node", "least").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = components(links)
+    named = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     lookup = named.select("node", "root").join(least, "root").select(F.col("node").alias("__n"), "component_id")
     out = rows.select("doc_id", "node", "n").join(small(lookup), F.col("node") == F.col("__n"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _several(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """groups (g, node, n, w) with the root of each node, where a group holds nodes of several."""
+    if roots is None:
+        return groups.select("g", "node", "n", "w", F.col("node").alias("root"))
+    rooted = groups.join(roots.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").select("g", "node", "n", "w", F.coalesce("root", "node").alias("root"))
+    several = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("g").alias("__g"))
+    return scratch(rooted.join(small(several), F.col("g") == F.col("__g")).drop("__g"), "rest")
+
+
+def _star(rooted: DataFrame) -> DataFrame:
+    """One pair (a, b) for each root but the least of a group: a node of its own and one of a lesser root, which share the most."""
+    one = rooted.groupBy("g", "root").agg(F.min("node").alias("rep"), F.first("w").alias("w"))
+    least = one.groupBy("g").agg(F.min(F.struct("root", "rep")).alias("p")).select(F.col("g").alias("__g"), F.col("p.root").alias("to"), F.col("p.rep").alias("b"))
+    pairs = one.join(small(least), F.col("g") == F.col("__g")).where("root <> to")
+    shared = pairs.groupBy("root", F.col("rep").alias("a"), "b").agg(F.sum("w").alias("w"))
+    return shared.groupBy("root").agg(F.max(F.struct("w", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the rows that another stands for: of each component the row with the least doc_id stays, with its columns.
 
