@@ -13,6 +13,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Chunks, by_spaces, chunks
+from .bpe import MAX_CHUNKS, Chunks, by_spaces, chunks
 from .common import scratch, shared_dir
 
 #: Fixed values of the seekable format: magic numbers, and the flag for checksums.
@@ -104,37 +105,49 @@ class Library:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.first, self.after = Chunks(self._ids), Chunks(lambda c: self._ids(" " + c))
+        vocabulary = self.tokenizer.get_vocab()
+        space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        self.first = Chunks(self._ids)
+        self.after: dict[str, bytes] = {}  # ids of pieces with a space in front
 
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        cut, unknown = [], {}
-        for text in texts:
-            parts = by_spaces(text or "")
-            cut.append(parts)
+        cut, unknown, after = [by_spaces(text or "") for text in texts], set(), self.after
+        for parts in cut:
             if parts is not None:
-                after = self.after
-                for p in parts[1:]:
-                    if p not in after:
-                        unknown[p] = b""
-        # what a batch has of new pieces goes to the library in one call
-        new = list(unknown)
-        for p, e in zip(new, self.tokenizer.encode_batch_fast([" " + p for p in new], add_special_tokens=False)):
-            ids = e.ids
-            packed = unknown[p] = struct.pack(f"<{len(ids)}I", *ids)
-            if len(p) < 64 and len(self.after) < self.after.room:
-                self.after[p] = packed
-        out, after = [], self.after
+                unknown |= set(parts[1:]).difference(after)
+        room = max(0, MAX_CHUNKS - len(after))
+        new = sorted(unknown)
+        after.update(zip(new, self._pieces(new)))
+        out = []
         for text, parts in zip(texts, cut):
             if not text:
                 out.append(b"")
             elif parts is None:
                 out.append(b"".join(map(self.first.__getitem__, chunks(text))))
             else:
-                out.append(self.first[parts[0]] + b"".join([unknown[p] if p in unknown else after[p] for p in parts[1:]]))
+                out.append(self.first[parts[0]] + b"".join(map(after.__getitem__, parts[1:])))
+        for p in new[room:]:
+            del after[p]
+        return out
+
+    def _pieces(self, new: list[str]) -> list[bytes]:
+        """Ids of each piece with a space in front. Many go to the library as one text; tokens that begin with the space part them."""
+        out: list[bytes] = []
+        for at in range(0, len(new), 2000):
+            group = new[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + p for p in group])], add_special_tokens=False)[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == len(group) and starts[0] == 0:
+                packed, cuts = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
+                out += [packed[a:b] for a, b in zip(cuts, cuts[1:])]
+            else:
+                out += [self._ids(" " + p) for p in group]
         return out
 
 
@@ -142,7 +155,7 @@ _libraries: dict[str, Library] = {}
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
-    """Writes docs (doc_id, text) in ascending doc_id (nulls first, then by text) to files under folder; returns their list.
+    """Writes docs (doc_id, text) in ascending doc_id (nulls first, then by hash of the text) to files under folder; returns their list.
 
     One row a file: part (files ascend), path, n_docs, n_tokens. A task writes one file under a name of its own, so that tasks
     that run twice leave an unlisted file at most. Null and empty texts have just the end id.
@@ -169,7 +182,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
             out.close()
             yield pa.RecordBatch.from_pylist([{"part": part, "path": f"{folder}/{path}", "n_docs": writer.frames, "n_tokens": n}])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # the bounds of ranges are found from a sample of narrow keys, not of texts
+    keyed = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     return scratch(ordered.mapInArrow(run, "part long, path string, n_docs long, n_tokens long"), "token-files")
 
 
