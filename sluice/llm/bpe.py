@@ -18,9 +18,10 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 #: States that are kept, and chunks of text whose ids are remembered.
-MAX_STATES, MAX_CHUNKS = 400_000, 400_000
+MAX_STATES, MAX_CHUNKS = 800_000, 900_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -63,7 +64,7 @@ class Transducer:
             return True
         got = self._apart.get((a, b))
         if got is None:
-            if len(self._apart) > 2 * self.max_states:
+            if len(self._apart) > self.max_states:
                 self._apart.clear()
             got = self._apart[a, b] = merge(a + b, self.ranks) == [a, b]
         return got
@@ -289,7 +290,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
     """
     narrow = docs.select(key, "text")
     schema = narrow.select(key).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    schema = schema.add("ids", "array<long>") if with_ids else schema
+    schema = schema.add("ids", T.ArrayType(T.LongType())) if with_ids else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(path, pattern)
