@@ -92,7 +92,9 @@ def fences(measured: DataFrame) -> DataFrame:
 
     by_lang = merged(by_source, "lang")
     own, lang = limits(by_source, "s", "lang", "source"), limits(by_lang, "l", "lang").withColumnRenamed("lang", "__lang")
-    whole = limits(merged(by_lang), "a").first().asDict()  # one row of numbers
+    whole = limits(merged(by_lang).where("n > 0"), "a")  # one row of numbers, none of an empty table
+    first = whole.first()
+    whole = first.asDict() if first else dict.fromkeys(whole.columns)
     joined = own.join(lang, own["lang"].eqNullSafe(lang["__lang"])).withColumns({k: F.lit(v).cast("double") for k, v in whole.items()})
     pick = lambda x: F.when(F.col("n_s") >= LEAST_ROWS, F.col(f"{x}_s")).when(F.col("n_l") >= LEAST_ROWS, F.col(f"{x}_l")).otherwise(F.col(f"{x}_a"))
     return joined.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), *(pick(f"{side}_{m}").alias(f"{side}_{m}") for m in MEASURES for side in ("lo", "hi")))
