@@ -153,7 +153,7 @@ def dispatch_runs(spark: SparkSession, d: str) -> DataFrame:
 def format_labels(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     text = F.col("o_orderkey").cast("string")
-    return o.select("o_orderkey", scalar.with_commas(F.floor(F.col("o_totalprice")) * F.when(F.col("o_orderkey") % 2 == 0, -1).otherwise(1)).alias("commas"), decode.bookmark_table(F.lit("mongo://h:1"), F.col("o_orderpriority"), F.lit("r"), F.col("o_orderstatus")).alias("bookmarks"), scalar.short_hash(text).alias("hash"), decode.batch_label(F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(text), F.col("o_orderstatus")).alias("label"), decode.op_label(F.lit("main"), F.col("o_orderstatus"), F.lit("insert"), text).alias("op_label"))
+    return o.select("o_orderkey", scalar.with_commas(F.floor(F.col("o_totalprice")) * F.when(F.col("o_orderkey") % 2 == 0, -1).otherwise(1)).alias("commas"), decode.bookmark_table(F.lit("db://h:1"), F.col("o_orderpriority"), F.lit("r"), F.col("o_orderstatus")).alias("bookmarks"), scalar.short_hash(text).alias("hash"), decode.batch_label(F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(text), F.col("o_orderstatus")).alias("label"), decode.op_label(F.lit("main"), F.col("o_orderstatus"), F.lit("insert"), text).alias("op_label"))
 
 
 def almost_equal(spark: SparkSession, d: str) -> DataFrame:
@@ -275,7 +275,7 @@ ORACLE: dict[str, str] = {
         SELECT sync_id, CASE WHEN p IS NULL THEN sync_id WHEN p = sync_id THEN 'SAME' ELSE array_to_string(list_transform(range(1, length(sync_id) + 1), lambda i: CASE WHEN substr(sync_id, i, 1) <> substr(p, i, 1) THEN substr(sync_id, i, 1) ELSE '' END), '') END AS id_diff FROM x""",
     "dispatch_runs": f"""WITH {_LOG}, f AS (SELECT *, CASE WHEN lag(coll) OVER (ORDER BY sync_id) IS NOT DISTINCT FROM coll THEN 0 ELSE 1 END AS s FROM log), g AS (SELECT *, sum(s) OVER (ORDER BY sync_id) AS run FROM f)
         SELECT CAST(run AS BIGINT) AS run, coll, min(sync_id) AS first_id, max(sync_id) AS last_id, count(*) AS n_events FROM g GROUP BY ALL""",
-    "format_labels": """SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT) * CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE 1 END) AS commas, regexp_replace(concat_ws('-', 'mongo://h:1', o_orderpriority, 'r', o_orderstatus), '[^a-zA-Z0-9]+', '-', 'g') AS bookmarks,
+    "format_labels": """SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT) * CASE WHEN o_orderkey % 2 = 0 THEN -1 ELSE 1 END) AS commas, regexp_replace(concat_ws('-', 'db://h:1', o_orderpriority, 'r', o_orderstatus), '[^a-zA-Z0-9]+', '-', 'g') AS bookmarks,
         substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 6) AS hash, CASE WHEN o_orderkey % 3 = 0 THEN '!EMPTY!' ELSE CAST(o_orderkey AS VARCHAR) END || '@' || o_orderstatus AS label, 'main.' || o_orderstatus || ':insert @ ' || CAST(o_orderkey AS VARCHAR) AS op_label FROM orders""",
     "almost_equal": """WITH x AS (SELECT o_orderkey, o_totalprice AS a, o_totalprice * CASE o_orderkey % 3 WHEN 0 THEN CAST('1.000000001' AS DOUBLE) WHEN 1 THEN CAST(-1 AS DOUBLE) ELSE CAST('1.001' AS DOUBLE) END AS b FROM orders)
         SELECT o_orderkey, coalesce(abs(abs(a) - abs(b)) / nullif(abs(a) + abs(b), 0) <= CAST('1e-6' AS DOUBLE), true) AS near, coalesce(abs(a - b) / nullif(abs(a) + abs(b), 0) <= CAST('1e-6' AS DOUBLE), true) AS strictly FROM x""",
