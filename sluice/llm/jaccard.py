@@ -6,7 +6,9 @@
 3. Behind its prefix a set has need(n) - 1 shingles; so linked sets share so many in their prefixes that a node whose groups
    (nodes with a common prefix shingle) are too few is left out, and likewise a pair.
 4. In each group every node is first tested with one pivot; most near copies are joined by that, without a row for each two
-   of them. Only where a group still holds several components, its remaining pairs across components are tested.
+   of them.
+5. Where a group still holds several components, the nodes outside its largest one are searched for in the blocks that hold
+   its members: a row is a node and a block, never a pair. Components stay together in blocks as far as their size allows.
 Tests are T-occurrence searches (DivideSkip): of the query's inverted lists the short ones are merged by a heap, the long
 ones are probed by bisection, and what reaches the overlap is kept.
 """
@@ -29,6 +31,8 @@ from .common import scratch, small
 WORDS, SHARE, OF = 5, 80, 100
 #: Shingles that count as frequent are put last in the order: the most frequent of those that LEAST of a task's HELD last hashes have.
 FREQUENT, LEAST, HELD = 50_000, 12, 1 << 21
+#: Shingles in a block of indexed sets, and in a share of the sets searched for in one block, about.
+BLOCK, ASKED = 1 << 17, 1 << 20
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -265,7 +269,7 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
     pivots = often.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
     all_groups = scratch(rare.unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "pivot", F.lit(1).cast("long").alias("w"))), "groups")
     # nodes whose groups may suffice; without the others some groups have new pivots or are gone
-    enough = all_groups.groupBy("node").agg(F.sum("w").alias("shared")).join(nodes.select("node", "n"), "node").where(F.col("shared") >= F.greatest(F.lit(1), _ceil(2 * SHARE * F.col("n"), OF + SHARE) - _ceil(SHARE * F.col("n"), OF) - 1))
+    enough = all_groups.groupBy("node").agg(F.sum("w").alias("shared")).join(nodes.select("node", "n"), "node").where(F.col("shared") >= _least_shared(F.col("n")))
     left = scratch(all_groups.drop("pivot").join(small(enough.select(F.col("node").alias("__n"), "n")), F.col("node") == F.col("__n")).drop("__n"), "groups")
     pivots = left.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
     return scratch(left.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "n", "pivot", "w"), "groups")
@@ -275,12 +279,30 @@ def _ceil(a: Column, b: int) -> Column:
     return F.ceil(a / F.lit(b) - F.lit(1e-9)).cast("long")
 
 
+def _least_shared(n: Column) -> Column:
+    """Least number of shingles that a set of n and any that it is linked with share in their prefixes."""
+    return F.greatest(F.lit(1), _ceil(2 * SHARE * n, OF + SHARE) - _ceil(SHARE * n, OF) - 1)
+
+
 def _may_link(n: Column, m: Column, shared: Column) -> Column:
     """Whether sets of n and m shingles that share at most `shared` in their prefixes can be linked."""
     behind = F.least(_ceil(SHARE * n, OF), _ceil(SHARE * m, OF)) - 1
     return (OF * F.least(n, m) >= SHARE * F.greatest(n, m)) & (shared + behind >= _ceil(SHARE * (n + m), OF + SHARE))
 
 
+def _search(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links (a, b) between the sets of left (node_a, s_a), each one search, and those of right (node_b, s_b), the index."""
+    owners = right.column("node_b").to_pylist()
+    index = Index([np.frombuffer(x, np.uint64) for x in right.column("s_b").to_pylist()])
+    a, b = [], []
+    for i, x in zip(left.column("node_a").to_pylist(), left.column("s_a").to_pylist()):
+        for k in index.search(np.frombuffer(x, np.uint64)):
+            if owners[k] != i:
+                a.append(i)
+                b.append(owners[k])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs (a, b) and of others met on the way that are links. sets: node, n, s (packed hashes).
 
@@ -297,18 +319,45 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         ends = salted.select(F.col("block").alias(f"block_{c}"), F.col(c).alias(f"node_{c}")).distinct()
         return ends.join(s, F.col(f"node_{c}") == F.col(f"own_{c}")).select(f"block_{c}", f"node_{c}", f"s_{c}")
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        owners = right.column("node_b").to_pylist()
-        index = Index([np.frombuffer(x, np.uint64) for x in right.column("s_b").to_pylist()])
-        a, b = [], []
-        for i, x in zip(left.column("node_a").to_pylist(), left.column("s_a").to_pylist()):
-            for k in index.search(np.frombuffer(x, np.uint64)):
-                if owners[k] != i:
-                    a.append(i)
-                    b.append(owners[k])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return side("a").groupBy("block_a").cogroup(side("b").groupBy("block_b")).applyInArrow(_search, "a long, b long")
+
 
-    return side("a").groupBy("block_a").cogroup(side("b").groupBy("block_b")).applyInArrow(search, "a long, b long")
+def _several(rest: DataFrame) -> DataFrame:
+    """rest (g, node, n, w, root) without groups of one component, and without nodes whose other groups are too few for a link."""
+    def mixed(df: DataFrame) -> DataFrame:
+        roots = df.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("g").alias("__g"))
+        return df.join(small(roots), F.col("g") == F.col("__g")).drop("__g")
+
+    first = scratch(mixed(rest), "rest")
+    enough = first.groupBy("node").agg(F.sum("w").alias("shared"), F.first("n").alias("n")).where(F.col("shared") >= _least_shared(F.col("n")))
+    return scratch(mixed(first.join(small(enough.select(F.col("node").alias("__n"))), F.col("node") == F.col("__n")).drop("__n")), "rest")
+
+
+def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components of a group, and others met on the way. rest: g, node, n, w, root; sets: node, s.
+
+    Members are placed in blocks of about BLOCK shingles, a component in neighbouring blocks. Who is not of the largest
+    component of a group asks all blocks that hold its members, if the groups it shares with a block may suffice for a link.
+    """
+    members = scratch(rest.groupBy("node").agg(F.first("n").alias("n"), F.first("root").alias("root")), "members")
+    blocks = -(-(members.agg(F.sum("n")).first()[0] or 0) // BLOCK) or 1
+    parts = members.groupBy("root").agg(_ceil(F.sum("n"), BLOCK).alias("parts")).select(F.col("root").alias("__r"), "parts")
+    at = F.pmod(F.pmod(F.xxhash64("root"), F.lit(blocks)) + F.pmod(F.xxhash64("node"), F.col("parts")), F.lit(blocks))
+    placed = scratch(members.join(small(parts), F.col("root") == F.col("__r")).select("node", at.alias("block")), "placed")
+    held = rest.select("g", "node").join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
+    held = held.select("g", "block").distinct().groupBy("g").agg(F.collect_list("block").alias("blocks"))
+    most = rest.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
+    to = scratch(most.join(held, "g").select(F.col("g").alias("__g"), "largest", "blocks"), "held")
+    asks = rest.join(small(to), (F.col("g") == F.col("__g")) & (F.col("root") != F.col("largest"))).select("node", "n", "w", F.explode("blocks").alias("block"))
+    asks = asks.groupBy("node", "block").agg(F.sum("w").alias("w"), F.first("n").alias("n")).where(F.col("w") >= _least_shared(F.col("n")))
+    asks = scratch(asks.select("node", "block", "n"), "asks")
+    shares = asks.groupBy("block").agg(_ceil(F.sum("n"), ASKED).alias("shares")).select(F.col("block").alias("__b"), "shares")
+    shares = small(scratch(shares, "shares"))
+    left = asks.join(shares, F.col("block") == F.col("__b")).select(F.col("node").alias("node_a"), F.col("block").alias("block_a"), F.pmod(F.xxhash64("node"), F.col("shares")).alias("share_a"))
+    right = placed.join(shares, F.col("block") == F.col("__b")).select(F.col("node").alias("node_b"), F.col("block").alias("block_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share_b"))
+    left = left.join(sets.select(F.col("node").alias("__n"), F.col("s").alias("s_a")), F.col("node_a") == F.col("__n")).drop("__n")
+    right = right.join(sets.select(F.col("node").alias("__n"), F.col("s").alias("s_b")), F.col("node_b") == F.col("__n")).drop("__n")
+    return left.groupBy("block_a", "share_a").cogroup(right.groupBy("block_b", "share_b")).applyInArrow(_search, "a long, b long")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -362,16 +411,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = scratch(few.select("text").mapInArrow(pack, "node long, s binary").groupBy("node").agg(F.first("s").alias("s")), "shingles")
     links = scratch(_verify(pairs, sets), "links")
     first = components(links)
-    # pairs across components in groups that hold several
+    # links across components, in groups that hold several
     rooted = groups.join(first.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").select("g", "node", "n", "w", F.coalesce("root", "node").alias("root"))
-    several = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(F.col("g").alias("__g"))
-    left = scratch(rooted.join(small(several), F.col("g") == F.col("__g")).drop("__g"), "rest")
-    x, y = left.alias("x"), left.alias("y")
-    across = (F.col("x.g") == F.col("y.g")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & (OF * F.least("x.n", "y.n") >= SHARE * F.greatest("x.n", "y.n"))
-    rest = x.join(y, across).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.sum("x.w").alias("w"), F.first("x.n").alias("n"), F.first("y.n").alias("m"))
-    rest = scratch(rest.where(_may_link(F.col("n"), F.col("m"), F.col("w"))).select("a", "b"), "pairs")
+    rest = _several(rooted)
     if not rest.isEmpty():
-        links = scratch(links.union(_verify(rest, sets)), "links")
+        links = scratch(links.union(_across(rest, sets)), "links")
         first = components(links)
     named = nodes.select("node", "least").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
