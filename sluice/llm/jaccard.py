@@ -344,12 +344,16 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     parts = members.groupBy("root").agg(_ceil(F.sum("n"), BLOCK).alias("parts")).select(F.col("root").alias("__r"), "parts")
     at = F.pmod(F.pmod(F.xxhash64("root"), F.lit(blocks)) + F.pmod(F.xxhash64("node"), F.col("parts")), F.lit(blocks))
     placed = scratch(members.join(small(parts), F.col("root") == F.col("__r")).select("node", at.alias("block")), "placed")
-    held = rest.select("g", "node").join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
-    held = held.select("g", "block").distinct().groupBy("g").agg(F.collect_list("block").alias("blocks"))
     most = rest.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
-    to = scratch(most.join(held, "g").select(F.col("g").alias("__g"), "largest", "blocks"), "held")
-    asks = rest.join(small(to), (F.col("g") == F.col("__g")) & (F.col("root") != F.col("largest"))).select("node", "n", "w", F.explode("blocks").alias("block"))
-    asks = asks.groupBy("node", "block").agg(F.sum("w").alias("w"), F.first("n").alias("n")).where(F.col("w") >= _least_shared(F.col("n")))
+    tagged = scratch(rest.join(small(most.select(F.col("g").alias("__g"), "largest")), F.col("g") == F.col("__g")).drop("__g"), "tagged")
+    held = tagged.join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
+    held = held.groupBy("g", "block").agg(F.max("root").alias("hi"), F.max(F.col("root") == F.col("largest")).alias("top"))
+    to = scratch(held.groupBy("g").agg(F.collect_list(F.struct("block", "hi", "top")).alias("to")).select(F.col("g").alias("__g"), "to"), "held")
+    asks = tagged.where("root <> largest").join(small(to), F.col("g") == F.col("__g")).select("node", "n", "w", "root", F.explode("to").alias("to"))
+    # of two components outside the largest one, the one with the lesser root asks
+    asks = asks.where((F.col("to.hi") > F.col("root")) | F.col("to.top")).select("node", "n", "w", F.col("to.block").alias("block"))
+    # of the groups that a pair shares one node asks in some and the other in the rest: one of them has half of the weight
+    asks = asks.groupBy("node", "block").agg(F.sum("w").alias("w"), F.first("n").alias("n")).where(2 * F.col("w") >= _least_shared(F.col("n")))
     asks = scratch(asks.select("node", "block", "n"), "asks")
     shares = asks.groupBy("block").agg(_ceil(F.sum("n"), ASKED).alias("shares")).select(F.col("block").alias("__b"), "shares")
     shares = small(scratch(shares, "shares"))
@@ -408,7 +412,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             found = [shingles(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "s"])
 
-    sets = scratch(few.select("text").mapInArrow(pack, "node long, s binary").groupBy("node").agg(F.first("s").alias("s")), "shingles")
+    packed = few.select("text").mapInArrow(pack, "node long, s binary")
+    if few.select("doc_id").count() > owners.count():  # ids repeat, so that sets may
+        packed = packed.groupBy("node").agg(F.first("s").alias("s"))
+    sets = scratch(packed, "shingles")
     links = scratch(_verify(pairs, sets), "links")
     first = components(links)
     # links across components, in groups that hold several
