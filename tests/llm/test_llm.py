@@ -254,8 +254,10 @@ def test_jaccard_families(spark, monkeypatch):
     for i, x in enumerate(root):
         least.setdefault(x, i)
     want = {i: least[x] for i, x in enumerate(root)}
-    for rare in (12, 2):
+    for rare, block, asked in ((12, jaccard.BLOCK, jaccard.ASKED), (2, 300, 200)):
         monkeypatch.setattr(jaccard, "LEAST", rare)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "ASKED", asked)
         assert {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(df).collect()} == want
 
 
