@@ -20,8 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: States that are kept, and chunks of text whose ids are remembered.
-MAX_STATES, MAX_CHUNKS = 800_000, 900_000
+from .common import held
+
+#: States that are kept (and transitions, twice as many), and chunks of text whose ids are remembered: about 250 MB when full.
+MAX_STATES, MAX_CHUNKS = 150_000, 700_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -55,8 +57,10 @@ class Transducer:
         #: the last token emitted, and the bytes since
         self.states: list[tuple[bytes, bytes]] = [(b"", b"")]
         self.number = {(b"", b""): 0}
-        #: state * 256 + byte -> (state, ids emitted)
-        self.go: dict[int, tuple[int, tuple[int, ...]]] = {}
+        #: state * 256 + byte -> (state, ids emitted), or just the state where none are
+        self.go: dict[int, int | tuple[int, tuple[int, ...]]] = {}
+        #: one object for each token, that states share
+        self.shared = {t: t for t in ranks}
         self.ends: dict[int, tuple[int, ...]] = {}
 
     def _apart_(self, a: bytes, b: bytes) -> bool:
@@ -64,9 +68,9 @@ class Transducer:
             return True
         got = self._apart.get((a, b))
         if got is None:
-            if len(self._apart) > self.max_states:
+            if len(self._apart) > self.max_states // 2:
                 self._apart.clear()
-            got = self._apart[a, b] = merge(a + b, self.ranks) == [a, b]
+            got = self._apart[self.shared[a], self.shared[b]] = merge(a + b, self.ranks) == [a, b]
         return got
 
     def _whole_(self, t: bytes) -> bool:
@@ -111,7 +115,7 @@ class Transducer:
         cut, emitted = common.bit_length() - 1 if live else 0, ()
         if cut:
             tokens = self._tokens(last, cut)
-            before, emitted = tokens[-1], tuple(map(self.ranks.__getitem__, tokens))
+            before, emitted = self.shared[tokens[-1]], tuple(map(self.ranks.__getitem__, tokens))
             pending, last, live = pending[cut:], (b"", *last[cut + 1 :]), [j - cut for j in live]
             # places that no live one goes through don't matter any more
             ends = tuple(e >> cut | 1 for e in ends[cut:])
@@ -126,9 +130,13 @@ class Transducer:
         go, number, states, at, odd = self.go, self.number, self.states, 0, None
         for byte in piece:
             if odd is None:
-                try:
-                    at, emitted = go[at << 8 | byte]
-                except KeyError:
+                step = go.get(at << 8 | byte)
+                if step.__class__ is int:
+                    at = step
+                    continue
+                if step is not None:
+                    at, emitted = step
+                else:
                     state, emitted = self._advance(self._full(states[at]), byte)
                     key = state[:2]
                     to = number.get(key)
@@ -138,8 +146,8 @@ class Transducer:
                     if to is None:
                         odd = state
                     else:
-                        if len(go) < 4 * self.max_states:
-                            go[at << 8 | byte] = to, emitted
+                        if len(go) < 2 * self.max_states:
+                            go[at << 8 | byte] = (to, emitted) if emitted else to
                         at = to
             else:
                 odd, emitted = self._advance(odd, byte)
@@ -269,14 +277,9 @@ class Utf8Machine:
         return "�" if left else ""
 
 
-_loaded: dict[tuple[str, str], Tokenizer] = {}
-
-
 def load(path: str, pattern: str) -> Tokenizer:
     """The tokenizer of this process for the vocabulary at path."""
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = Tokenizer(read_ranks(path), pattern)
-    return _loaded[path, pattern]
+    return held(("bpe", path, pattern), lambda: Tokenizer(read_ranks(path), pattern))
 
 
 def unpack(ids: bytes) -> tuple[int, ...]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,21 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_ROWS = 500_000
 
 
+_held: dict[Any, Any] = {}
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """What make() gave for key, kept by this process until another key is asked for.
+
+    Python workers outlive stages: without this the tables of all operators that ever ran in a worker would add up.
+    """
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = make()
+    return _held[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

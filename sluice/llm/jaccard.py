@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, small
+from .common import held, scratch, small
 
 #: Words of a shingle; similarity as a fraction.
 WORDS, SHARE, OF = 5, 80, 100
@@ -44,9 +44,6 @@ class _Words(dict):
         return out
 
 
-_words = _Words()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -58,7 +55,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = text.encode("utf-8", "replace").lower().split() if text else ()
     if not words:
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(held("shingle words", _Words).__getitem__, words), np.uint64, len(words))
     if len(w) < WORDS:
         return np.array([xxhash.xxh64_intdigest(w.tobytes(), seed=len(w))], np.uint64)
     total = np.zeros(len(w) - WORDS + 1, np.uint64)
@@ -164,22 +161,22 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     Only the order depends on them, not the result; so their number is bounded.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        found, n = [], 0
 
         def heavy() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            keys, counts = np.unique(np.concatenate(found), return_counts=True)
             keep = counts >= LEAST
             return pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], names=["h", "c"])
 
         for batch in batches:
             for text in batch.column(0):
                 s = shingles(text.as_py())
-                held.append(s)
+                found.append(s)
                 n += len(s)
                 if n >= HELD:
                     yield heavy()
-                    held, n = [], 0
-        if held:
+                    found, n = [], 0
+        if found:
             yield heavy()
 
     rows = texts.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(FREQUENT).collect()
@@ -246,12 +243,12 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
         h, owner = h[order], owner[order]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         ends = np.append(starts[1:], len(h))
-        held: dict[bytes, int] = {}
+        counted: dict[bytes, int] = {}
         for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist()):
             members = owner[a:b].tobytes()
-            held[members] = held.get(members, 0) + 1
+            counted[members] = counted.get(members, 0) + 1
         out = ([], [], [], [])
-        for members, w in held.items():
+        for members, w in counted.items():
             m = np.frombuffer(members, np.int64)
             for c, v in zip(out, (np.full(len(m), node(m.view(np.uint64))), m, np.full(len(m), m[0]), np.full(len(m), w))):
                 c.append(v)
@@ -346,9 +343,9 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     placed = scratch(members.join(small(parts), F.col("root") == F.col("__r")).select("node", at.alias("block")), "placed")
     most = rest.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
     tagged = scratch(rest.join(small(most.select(F.col("g").alias("__g"), "largest")), F.col("g") == F.col("__g")).drop("__g"), "tagged")
-    held = tagged.join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
-    held = held.groupBy("g", "block").agg(F.max("root").alias("hi"), F.max(F.col("root") == F.col("largest")).alias("top"))
-    to = scratch(held.groupBy("g").agg(F.collect_list(F.struct("block", "hi", "top")).alias("to")).select(F.col("g").alias("__g"), "to"), "held")
+    blocks_of = tagged.join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
+    blocks_of = blocks_of.groupBy("g", "block").agg(F.max("root").alias("hi"), F.max(F.col("root") == F.col("largest")).alias("top"))
+    to = scratch(blocks_of.groupBy("g").agg(F.collect_list(F.struct("block", "hi", "top")).alias("to")).select(F.col("g").alias("__g"), "to"), "held")
     asks = tagged.where("root <> largest").join(small(to), F.col("g") == F.col("__g")).select("node", "n", "w", "root", F.explode("to").alias("to"))
     # of two components outside the largest one, the one with the lesser root asks
     asks = asks.where((F.col("to.hi") > F.col("root")) | F.col("to.top")).select("node", "n", "w", F.col("to.block").alias("block"))

@@ -22,12 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import MAX_CHUNKS, Chunks, by_spaces, chunks
-from .common import scratch, shared_dir
+from .bpe import Chunks, by_spaces, chunks
+from .common import held, scratch, shared_dir
 
 #: Fixed values of the seekable format: magic numbers, and the flag for checksums.
 _SKIP_TABLE, _SKIP_IDS, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
 END_ID = 2
+#: Pieces whose ids are remembered.
+MAX_PIECES = 900_000
 
 
 class Writer:
@@ -109,7 +111,7 @@ class Library:
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
-        self.first = Chunks(self._ids)
+        self.first = Chunks(self._ids, MAX_PIECES)
         self.after: dict[str, bytes] = {}  # ids of pieces with a space in front
 
     def _ids(self, text: str) -> bytes:
@@ -121,7 +123,7 @@ class Library:
         for parts in cut:
             if parts is not None:
                 unknown |= set(parts[1:]).difference(after)
-        room = max(0, MAX_CHUNKS - len(after))
+        room = max(0, MAX_PIECES - len(after))
         new = sorted(unknown)
         after.update(zip(new, self._pieces(new)))
         out = []
@@ -151,9 +153,6 @@ class Library:
         return out
 
 
-_libraries: dict[str, Library] = {}
-
-
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Writes docs (doc_id, text) in ascending doc_id (nulls first, then by hash of the text) to files under folder; returns their list.
 
@@ -161,7 +160,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     that run twice leave an unlisted file at most. Null and empty texts have just the end id.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib = _libraries.get(tokenizer_path) or _libraries.setdefault(tokenizer_path, Library(tokenizer_path))
+        lib = held(("token files", tokenizer_path), lambda: Library(tokenizer_path))
         part, end = TaskContext.get().partitionId(), struct.pack("<I", end_id)
         writer, n = None, 0
         fs, place = open_fs(folder)
