@@ -37,9 +37,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of what they decode to, a row a copy."""
+    """doc_id, n_tokens and digests of the ids and of what they decode to, a row a copy.
+
+    By the last stage the executors' heaps have grown, so that the tables of the workers are kept small.
+    """
     files = _tokenizers()
-    return bpe.encode_documents(docs, files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN)
+    return bpe.encode_documents(docs, files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN, max_states=80_000, max_chunks=300_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from .common import held
 
-#: States that are kept (and transitions, twice as many), and chunks of text whose ids are remembered: about 250 MB when full.
-MAX_STATES, MAX_CHUNKS = 150_000, 700_000
+#: States that are kept (and transitions, twice as many), and chunks of text whose ids are remembered: about 350 MB when full.
+MAX_STATES, MAX_CHUNKS = 400_000, 600_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -205,11 +205,11 @@ def by_spaces(text: str) -> list[str] | None:
 class Tokenizer:
     """Encodes whole texts as tiktoken would (no special tokens): each match of the pattern by the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern.replace(r"[^\s", f"[^{_CLASS}").replace(r"\s", f"[{_CLASS}]").replace(r"\S", f"[^{_CLASS}]"))
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_states: int = MAX_STATES, max_chunks: int = MAX_CHUNKS):
+        self.transducer, self.pattern = Transducer(ranks, max_states), regex.compile(pattern.replace(r"[^\s", f"[^{_CLASS}").replace(r"\s", f"[{_CLASS}]").replace(r"\S", f"[^{_CLASS}]"))
         self.tokens = {v: k for k, v in ranks.items()}
-        self.first, self.after = Chunks(self._chunk), Chunks(lambda c: self._chunk(" " + c))
-        self.piece = Chunks(self._piece, MAX_CHUNKS // 4)
+        self.first, self.after = Chunks(self._chunk, max_chunks), Chunks(lambda c: self._chunk(" " + c), max_chunks)
+        self.piece = Chunks(self._piece, max_chunks // 4)
 
     def _chunk(self, chunk: str) -> bytes:
         return b"".join(map(self.piece.__getitem__, self.pattern.findall(chunk)))
@@ -277,26 +277,27 @@ class Utf8Machine:
         return "�" if left else ""
 
 
-def load(path: str, pattern: str) -> Tokenizer:
+def load(path: str, pattern: str, max_states: int = MAX_STATES, max_chunks: int = MAX_CHUNKS) -> Tokenizer:
     """The tokenizer of this process for the vocabulary at path."""
-    return held(("bpe", path, pattern), lambda: Tokenizer(read_ranks(path), pattern))
+    return held(("bpe", path, pattern, max_states, max_chunks), lambda: Tokenizer(read_ranks(path), pattern, max_states, max_chunks))
 
 
 def unpack(ids: bytes) -> tuple[int, ...]:
     return struct.unpack(f"<{len(ids) // 4}I", ids)
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", with_ids: bool = False, max_states: int = MAX_STATES, max_chunks: int = MAX_CHUNKS) -> DataFrame:
     """key, n_tokens, ids_sha256 and decoded_sha256 of every whole text, and with with_ids the ids themselves.
 
     Null and empty texts have no ids; null keys stay; repeated rows are encoded one by one; other columns are ignored.
+    max_states and max_chunks bound the tables of a worker: fewer cost time, and change no result.
     """
     narrow = docs.select(key, "text")
     schema = narrow.select(key).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     schema = schema.add("ids", T.ArrayType(T.LongType())) if with_ids else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load(path, pattern)
+        tok = load(path, pattern, max_states, max_chunks)
         for batch in batches:
             n, one, two, all_ids = [], [], [], []
             for text in batch.column(1):
