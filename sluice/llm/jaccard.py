@@ -2,9 +2,11 @@
 
 1. Each text becomes its set of 64-bit shingle hashes. Equal sets are one node from then on.
 2. Shingles have a global order: those frequent somewhere last (by their counts), the rest by hash. Two sets of the required
-   similarity share a shingle in their prefixes (the first n - ceil(t n) + 1 in that order). Prefixes are dealt out by shingle.
-3. Behind its prefix a set has need(n) - 1 shingles; so linked sets share so many in their prefixes that a node whose groups
-   (nodes with a common prefix shingle) are too few is left out, and likewise a pair.
+   similarity share a shingle in their prefixes (the first n - ceil(t n) + 1 in that order, and some more). Prefixes are dealt
+   out by shingle.
+3. What linked sets share behind the prefix that ends first is no more than what either has behind its own; so a pair is left
+   out if its prefixes share fewer than its overlap less the greater of the two, and a node if its groups (nodes with a common
+   prefix shingle) are too few for all sizes that other members of them have.
 4. In each group every node is first tested with one pivot; most near copies are joined by that, without a row for each two
    of them.
 5. Where a group still holds several components, the nodes outside its largest one are searched for in the blocks that hold
@@ -29,6 +31,8 @@ from .common import held, scratch, small
 
 #: Words of a shingle; similarity as a fraction.
 WORDS, SHARE, OF = 5, 80, 100
+#: Hundredths of a set by which its prefix is longer than one common shingle needs, so that linked sets share more in theirs.
+EXTRA = 6
 #: Shingles that count as frequent are put last in the order: the most frequent of those that LEAST of a task's HELD last hashes have.
 FREQUENT, LEAST, HELD = 50_000, 12, 1 << 21
 #: Shingles in a block of indexed sets, and in a share of the sets searched for in one block, about.
@@ -75,7 +79,7 @@ def linked(n: int, m: int, shared: int) -> bool:
 
 def prefix(s: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The first shingles of s in the global order. frequent: ascending hashes; rank: their places in the order."""
-    k = len(s) - _need(len(s)) + 1
+    k = len(s) - _need(len(s)) + 1 - (-EXTRA * len(s) // OF)
     if not len(frequent):
         return s[:k]
     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
@@ -264,10 +268,10 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
     rare = rare.groupBy("g", "node", "pivot").agg(F.sum("w").alias("w"))
     often = scratch(slim.mapInArrow(unpack, "g long, node long"), "frequent")
     pivots = often.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
-    all_groups = scratch(rare.unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "pivot", F.lit(1).cast("long").alias("w"))), "groups")
+    every = rare.select("g", "node", "w").unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", F.lit(1).cast("long").alias("w")))
+    every = scratch(every.join(small(nodes.select(F.col("node").alias("__n"), "n")), F.col("node") == F.col("__n")).drop("__n"), "groups")
     # nodes whose groups may suffice; without the others some groups have new pivots or are gone
-    enough = all_groups.groupBy("node").agg(F.sum("w").alias("shared")).join(nodes.select("node", "n"), "node").where(F.col("shared") >= _least_shared(F.col("n")))
-    left = scratch(all_groups.drop("pivot").join(small(enough.select(F.col("node").alias("__n"), "n")), F.col("node") == F.col("__n")).drop("__n"), "groups")
+    left = scratch(every.join(small(_enough(every)), F.col("node") == F.col("__n")).drop("__n"), "groups")
     pivots = left.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
     return scratch(left.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "n", "pivot", "w"), "groups")
 
@@ -276,14 +280,33 @@ def _ceil(a: Column, b: int) -> Column:
     return F.ceil(a / F.lit(b) - F.lit(1e-9)).cast("long")
 
 
-def _least_shared(n: Column) -> Column:
-    """Least number of shingles that a set of n and any that it is linked with share in their prefixes."""
-    return F.greatest(F.lit(1), _ceil(2 * SHARE * n, OF + SHARE) - _ceil(SHARE * n, OF) - 1)
+def _may_share(n: Column, lo: Column, hi: Column, shared: Column) -> Column:
+    """Whether a set of n that shares at most `shared` in its prefix can be linked with one of lo to hi shingles.
+
+    The bound is _may_link's without rounding: it rises with the other's size up to n and falls beyond, so one end has the least.
+    """
+    bound = lambda m: SHARE * (n + m) / F.lit(OF + SHARE) - (SHARE - EXTRA) * F.greatest(n, m) / F.lit(OF)
+    return shared > F.least(bound(lo), bound(hi)) - F.lit(1e-9)
+
+
+def _sizes(n: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
+    """lo and hi, cut to the sizes that a set of n can be linked with."""
+    return F.greatest(lo, _ceil(SHARE * n, OF)), F.least(hi, F.floor(OF * n / F.lit(SHARE) + F.lit(1e-9)).cast("long"))
+
+
+def _enough(groups: DataFrame) -> DataFrame:
+    """__n: the nodes of groups (g, node, n, w) whose groups may suffice for a link with another member of theirs."""
+    sizes = groups.groupBy(F.col("g").alias("__g")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi")).where("c > 1")
+    n, two = F.col("n"), F.col("c") == 2
+    lo, hi = _sizes(n, *(F.when(two, F.col("lo") + F.col("hi") - n).otherwise(F.col(c)) for c in ("lo", "hi")))
+    fit = groups.join(small(sizes), F.col("g") == F.col("__g")).select("node", "n", "w", lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
+    total = fit.groupBy("node").agg(F.sum("w").alias("shared"), F.first("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return total.where(_may_share(n, F.col("lo"), F.col("hi"), F.col("shared"))).select(F.col("node").alias("__n"))
 
 
 def _may_link(n: Column, m: Column, shared: Column) -> Column:
     """Whether sets of n and m shingles that share at most `shared` in their prefixes can be linked."""
-    behind = F.least(_ceil(SHARE * n, OF), _ceil(SHARE * m, OF)) - 1
+    behind = F.greatest(F.lit(0), *(_ceil(SHARE * x, OF) - 1 - _ceil(EXTRA * x, OF) for x in (n, m)))
     return (OF * F.least(n, m) >= SHARE * F.greatest(n, m)) & (shared + behind >= _ceil(SHARE * (n + m), OF + SHARE))
 
 
@@ -326,8 +349,7 @@ def _several(rest: DataFrame) -> DataFrame:
         return df.join(small(roots), F.col("g") == F.col("__g")).drop("__g")
 
     first = scratch(mixed(rest), "rest")
-    enough = first.groupBy("node").agg(F.sum("w").alias("shared"), F.first("n").alias("n")).where(F.col("shared") >= _least_shared(F.col("n")))
-    return scratch(mixed(first.join(small(enough.select(F.col("node").alias("__n"))), F.col("node") == F.col("__n")).drop("__n")), "rest")
+    return scratch(mixed(first.join(small(_enough(first)), F.col("node") == F.col("__n")).drop("__n")), "rest")
 
 
 def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
@@ -344,13 +366,16 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     most = rest.groupBy("g", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max_by("root", F.struct("c", "root")).alias("largest"))
     tagged = scratch(rest.join(small(most.select(F.col("g").alias("__g"), "largest")), F.col("g") == F.col("__g")).drop("__g"), "tagged")
     blocks_of = tagged.join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
-    blocks_of = blocks_of.groupBy("g", "block").agg(F.max("root").alias("hi"), F.max(F.col("root") == F.col("largest")).alias("top"))
-    to = scratch(blocks_of.groupBy("g").agg(F.collect_list(F.struct("block", "hi", "top")).alias("to")).select(F.col("g").alias("__g"), "to"), "held")
+    blocks_of = blocks_of.groupBy("g", "block").agg(F.max("root").alias("hi"), F.max(F.col("root") == F.col("largest")).alias("top"), F.min("n").alias("least"), F.max("n").alias("most"))
+    to = scratch(blocks_of.groupBy("g").agg(F.collect_list(F.struct("block", "hi", "top", "least", "most")).alias("to")).select(F.col("g").alias("__g"), "to"), "held")
     asks = tagged.where("root <> largest").join(small(to), F.col("g") == F.col("__g")).select("node", "n", "w", "root", F.explode("to").alias("to"))
     # of two components outside the largest one, the one with the lesser root asks
-    asks = asks.where((F.col("to.hi") > F.col("root")) | F.col("to.top")).select("node", "n", "w", F.col("to.block").alias("block"))
+    asks = asks.where((F.col("to.hi") > F.col("root")) | F.col("to.top"))
+    lo, hi = _sizes(F.col("n"), F.col("to.least"), F.col("to.most"))
+    asks = asks.select("node", "n", "w", F.col("to.block").alias("block"), lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
     # of the groups that a pair shares one node asks in some and the other in the rest: one of them has half of the weight
-    asks = asks.groupBy("node", "block").agg(F.sum("w").alias("w"), F.first("n").alias("n")).where(2 * F.col("w") >= _least_shared(F.col("n")))
+    asks = asks.groupBy("node", "block").agg(F.sum("w").alias("w"), F.first("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    asks = asks.where(_may_share(F.col("n"), F.col("lo"), F.col("hi"), 2 * F.col("w")))
     asks = scratch(asks.select("node", "block", "n"), "asks")
     shares = asks.groupBy("block").agg(_ceil(F.sum("n"), ASKED).alias("shares")).select(F.col("block").alias("__b"), "shares")
     shares = small(scratch(shares, "shares"))

@@ -261,6 +261,24 @@ def test_jaccard_families(spark, monkeypatch):
         assert {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(df).collect()} == want
 
 
+def test_jaccard_appended_words(spark):
+    """Frequent texts and copies with own words appended, which fill the copies' prefixes."""
+    r = random.Random(5)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    out = []
+    for k in range(6):
+        base = [word() for _ in range(90)]
+        out += [" ".join(base)] * (20 if k < 3 else 13)
+        out += [" ".join(base + [word() for _ in range(n)]) for n in (10, 12, 14, 16, 18, 20, 21, 24)]
+    _, root = roots(list(enumerate(out)))
+    least = {}
+    for i, x in enumerate(root):
+        least.setdefault(x, i)
+    df = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string").repartition(1)
+    got = {x["doc_id"]: x["component_id"] for x in jaccard.jaccard_components(df).collect()}
+    assert got == {i: least[x] for i, x in enumerate(root)}
+
+
 def test_divide_skip():
     r = random.Random(4)
     sets = [np.unique(np.array(r.sample(range(60), r.randint(1, 50)), np.uint64)) for _ in range(150)]
