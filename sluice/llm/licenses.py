@@ -1,4 +1,4 @@
-"""License scans: an exact set-similarity join of text blocks with templates of license notices."""
+"""License scans: an exact set-similarity join of word windows with templates of license notices."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from .common import lower_ascii
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrase and label.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: Label and notice; a block that holds enough of a notice's words gets its label.
+#: Label and notice; a text with a window that holds enough of a notice's words gets its label.
 TEMPLATES = (
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -27,8 +27,10 @@ TEMPLATES = (
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
     ("public-domain", "This is free and unencumbered software released into the public domain"),
 )
-#: Least share of a template's words that a block must hold.
+#: Least share of a template's words that a window must hold.
 THRESHOLD = 0.85
+#: Words of a window for each word of its template: as many others may stand between them.
+SPAN = 2
 
 
 @dataclass(frozen=True)
@@ -36,6 +38,7 @@ class Template:
     label: str
     ranks: tuple[int, ...]  # rarest word first
     need: int  # least number of shared words
+    span: int  # words of a window
 
     @property
     def prefix(self) -> tuple[int, ...]:
@@ -59,7 +62,7 @@ def plan(words: DataFrame, templates: tuple[tuple[str, str], ...], threshold: fl
     seen = words.select(F.explode(F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))).alias("w")).groupBy("w").count()
     count = {r["w"]: r["count"] for r in seen.collect()}
     rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (count.get(w, 0), w)))}
-    return rank, [Template(label, tuple(sorted(rank[w] for w in _set(t))), math.ceil(threshold * len(_set(t)) - 1e-9)) for label, t in templates]
+    return rank, [Template(label, tuple(sorted(rank[w] for w in _set(t))), math.ceil(threshold * len(_set(t)) - 1e-9), SPAN * len(re.findall(WORD, t.lower()))) for label, t in templates]
 
 
 def containment(block: Column, t: Template) -> Column:
@@ -74,11 +77,25 @@ def containment(block: Column, t: Template) -> Column:
     return F.when((F.size(block) >= t.need) & first.isNotNull() & (left >= t.need), F.when(shared >= t.need, shared / F.lit(float(len(t.ranks)))))
 
 
+def windows(t: Template) -> Column:
+    """Sorted ranks of the windows of `ranks` that can reach the template, each of t.span words, line breaks or not.
+
+    They hold a word of the prefix; around its place, as far as such windows go, enough of the template's words must stand.
+    """
+    ranks, span = F.col("ranks"), F.lit(t.span)
+    own, rare = F.array(*map(F.lit, t.ranks)), list(t.prefix)
+    start = lambda p: F.greatest(p - span + 1, F.lit(0))
+    places = F.filter(F.transform(ranks, lambda r, i: F.when(r.isin(rare), i)), lambda p: p.isNotNull())
+    near = F.filter(places, lambda p: F.size(F.array_intersect(F.slice(ranks, start(p) + 1, 2 * span - 1), own)) >= t.need)
+    starts = F.array_distinct(F.flatten(F.transform(near, lambda p: F.sequence(start(p), p))))
+    return F.transform(starts, lambda s: F.array_sort(F.array_distinct(F.filter(F.slice(ranks, s + 1, span), lambda r: r >= 0))))
+
+
 def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """keep, n_words, n_base, first_word, last_word, base_labels, labels, score for every row of docs.
 
-    Blocks are the lines of a text; every line that holds threshold of a template's words gives its label, wherever in the
-    line they stand. score: the greatest such share, 1.0 with a base phrase, else 0.0. Null and empty texts have no words,
+    Blocks are all windows of SPAN times a template's words that follow one another in a text, across line breaks; each that
+    holds threshold of the template's words gives its label, in any order. score: the greatest such share, 1.0 with a base phrase, else 0.0. Null and empty texts have no words,
     null places and empty labels. Repeated rows are scanned one by one; an empty table gives none; other columns are ignored.
     """
     narrow = docs.select(*keep, lower_ascii(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
@@ -93,11 +110,10 @@ def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
         names.append(F.when(F.size(f"p{k}") > 0, F.lit(label)))
     rare = sorted({w for w, k in rank.items() if any(k in t.prefix for t in compiled)})
     vocabulary = sorted(rank)
-    some_line = F.filter(F.split("__t", "\n"), lambda line: line.rlike("|".join(rare)))
-    ranked = lambda line: F.array_sort(F.array_distinct(F.transform(F.filter(_words(line), lambda w: w.isin(vocabulary)), lambda w: F.element_at(by_rank, w))))
-    columns["blocks"] = F.when(F.arrays_overlap("words", F.array(*map(F.lit, rare))), F.transform(some_line, ranked))
+    ranked = F.transform("words", lambda w: F.when(w.isin(vocabulary), F.element_at(by_rank, w)).otherwise(F.lit(-1)))
+    columns["ranks"] = F.when(F.arrays_overlap("words", F.array(*map(F.lit, rare))), ranked)
     x = tokenised.withColumns(columns).withColumn("starts", F.concat(*starts))
-    x = x.withColumns({f"t{k}": F.array_max(F.transform("blocks", _against(t))) for k, t in enumerate(compiled)})
+    x = x.withColumns({f"t{k}": F.array_max(F.transform(windows(t), _against(t))) for k, t in enumerate(compiled)})
     joined = lambda xs: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*xs)))), ",")
     own = [F.when(F.col(f"t{k}").isNotNull(), F.lit(t.label)) for k, t in enumerate(compiled)]
     score = F.when(F.size("starts") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.array(*(F.col(f"t{k}") for k in range(len(compiled))))), F.lit(0.0)))

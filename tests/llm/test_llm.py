@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -70,6 +71,34 @@ def test_licenses(docs, rows):
     assert licenses.license_scan(empty(docs)).count() == 0
 
 
+def test_licenses_windows(spark):
+    """Notices wrapped over lines count, as do words between theirs; words strewn over a long line don't."""
+    r = random.Random(8)
+    fill = lambda n: [f"q{r.randint(0, 10**6)}" for _ in range(n)]
+    rows = []
+    for label, t in licenses.TEMPLATES:
+        for at in range(12):  # line breaks at every place
+            wrapped = textwrap.wrap(" ".join(["x" * 5] * at + t.split() + fill(30)), 70)
+            rows += [("\n".join(wrapped), label), ("\n".join(" * " + x for x in wrapped), label), ("\r\n".join(fill(60) + wrapped), label)]
+        rows.append((" ".join(fill(10) + [w for x in t.split() for w in (x, *fill(1))][:-1] + fill(10)), None if "License" in t else label))
+        rows.append((" ".join(w for x in t.split() for w in (x, *fill(9))), ""))
+    rows += [(None, ""), ("", ""), ("Permission is hereby granted", "")]
+    df = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(rows)], "doc_id long, text string").repartition(3)
+    found = licenses.license_scan(df).collect()
+    for got in found:
+        label, labels = rows[got["doc_id"]][1], set(filter(None, got["labels"].split(",")))
+        assert label in labels if label else label is None or not labels
+    vocabulary = [(label, set(licenses._set(t)), licenses.SPAN * len(re.findall(licenses.WORD, t.lower()))) for label, t in licenses.TEMPLATES]
+    for got in found:
+        text = rows[got["doc_id"]][0]
+        w = re.findall(licenses.WORD, (text or "").translate(UPPER))
+        share = {(x, len(v & set(w[k : k + n])) / len(v)) for x, v, n in vocabulary for k in range(max(1, len(w)))}
+        share = {(x, c) for x, c in share if c >= licenses.THRESHOLD - 1e-9}
+        labels, base = set(filter(None, got["labels"].split(","))), set(filter(None, got["base_labels"].split(",")))
+        assert labels == {x for x, _ in share} | base
+        assert got["score"] == (1.0 if base else max((c for _, c in share), default=0.0))
+
+
 def test_topk(spark):
     r = random.Random(1)
     vectors = [(i, [r.choice([0.5, -0.25, r.random()]) for _ in range(8)], 1) for i in range(120)]
