@@ -1,15 +1,18 @@
 """Exact top-k search by inner product, with three phases and a uniform threshold.
 
-A vector's score is the sum of SEGMENTS partial scores, one from each local list. Phase 1 takes the k best of every list,
-scores them in whole, and has with the k-th best of these a lower bound for each query. A vector that reaches the bound has
-at least one partial score of bound / SEGMENTS: phase 2 sends that cutoff to all lists and collects the entries above it,
-which are sufficient. Phase 3 resolves their remaining partial scores exactly.
+A vector's score is the sum of SEGMENTS partial scores, one from each local list: the list of a segment knows that segment's
+components only. Phase 1 gathers the DEPTH * k best entries of every list and resolves these few in whole; the k-th best of them is a
+lower bound of what a query returns. Phase 2 sends bound / SEGMENTS, rounded up, to all lists as the cutoff: a vector that
+reaches the bound has at least one partial score that reaches the cutoff, so that the entries that do are sufficient. Phase 3
+resolves the remaining partial scores of just these vectors, in whole numbers.
+
+Lists are searched with float64 products, whose cutoff is lowered by the most that they can be wrong by; scores that are
+returned or compared with each other are exact whole numbers of any size.
 """
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +22,90 @@ from pyspark.sql import functions as F
 from .common import scratch
 
 SEGMENTS = 4
-#: Rows in a block of candidates and of queries.
-ROWS, QUERIES = 4096, 512
-#: Components beyond this are added as whole numbers without bound, since float64 would round.
-EXACT = 1 << 22
-_FIELDS = "uids binary, ids binary, width long, data binary"
+#: Entries that phase 1 gathers of each list of a block, for each that is returned.
+DEPTH = 16
+#: Rows in a block of candidates and of queries; blocks of candidates that a task goes through.
+ROWS, QUERIES, BLOCKS = 4096, 512, 4
+_LONG = (-(1 << 63), (1 << 63) - 1)
 
 
-def _blocks(rows: DataFrame, size: int, extra: str | None = None) -> DataFrame:
-    """Rows (uid, id, v array<double>, and a number) as blocks of matrices."""
+def order_key(score: int) -> bytes:
+    """Bytes that sort as whole numbers do."""
+    size = (abs(score).bit_length() + 7) // 8
+    if score >= 0:
+        return (0x8000 + size).to_bytes(2, "big") + score.to_bytes(size, "big")
+    return (0x8000 - size).to_bytes(2, "big") + ((1 << 8 * size) - 1 + score).to_bytes(size, "big")
+
+
+def from_key(key: bytes) -> int:
+    size, body = int.from_bytes(key[:2], "big") - 0x8000, int.from_bytes(key[2:], "big")
+    return body if size >= 0 else body - (1 << 8 * -size) + 1
+
+
+def _cuts(width: int) -> list[tuple[int, int]]:
+    cuts = np.linspace(0, width, SEGMENTS + 1).astype(int).tolist()
+    return list(zip(cuts, cuts[1:]))
+
+
+class Block:
+    """Vectors of one length: each segment's list apart."""
+
+    def __init__(self, data: np.ndarray):
+        self.data = data
+        with np.errstate(over="ignore"):
+            self.lists = [data[:, a:b] for a, b in _cuts(data.shape[1])]
+            self.norms = [np.sqrt((x * x).sum(axis=1)) for x in self.lists]
+
+
+def partial(q: Block, r: Block) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Partial scores of each list, and for each the most that a query's are wrong by."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = [a @ b.T for a, b in zip(q.lists, r.lists)]
+        slack = [2.0**-50 * (a.shape[1] + 1) * (n * m.max(initial=0.0)) for a, n, m in zip(q.lists, q.norms, r.norms)]
+    return scores, slack
+
+
+def exact(q: np.ndarray, r: np.ndarray) -> list[int]:
+    """Inner products of the rows of q and r, whole numbers: in 64 bits where no sum can leave them, else in Python's."""
+    most = float(np.abs(q).max(initial=0.0)) * float(np.abs(r).max(initial=0.0)) * max(q.shape[1], 1)
+    if most < 2.0**62:
+        return np.einsum("ij,ij->i", q.astype(np.int64), r.astype(np.int64)).tolist()
+    return [sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(q.tolist(), r.tolist())]
+
+
+def first_phase(q: Block, r: Block, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(queries, rows, scores) of the best entries of each list. own: whether a row is the query itself."""
+    scores, _ = partial(q, r)
+    some = min(DEPTH * k + 1, own.shape[1])
+    picked = np.zeros(own.shape, bool)
+    for s in scores:
+        np.put_along_axis(picked, np.argpartition(-s, some - 1, axis=1)[:, :some], True, axis=1)
+    at, row = np.nonzero(picked & ~own)
+    return at, row, exact(q.data[at], r.data[row])
+
+
+def last_phases(q: Block, r: Block, own: np.ndarray, bounds: list[int | None]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """(queries, rows, scores) of the rows of which some list has an entry that reaches its query's cutoff; None: all rows."""
+    scores, slack = partial(q, r)
+    sent = np.zeros(own.shape, bool)
+    cutoff = np.array([-np.inf if b is None else _below(-(-b // SEGMENTS)) for b in bounds])
+    for s, w in zip(scores, slack):
+        with np.errstate(invalid="ignore"):
+            sent |= ~(s < (cutoff - w)[:, None])  # what isn't a number counts as sent
+    at, row = np.nonzero(sent & ~own)
+    return at, row, exact(q.data[at], r.data[row])
+
+
+def _below(x: int) -> float:
+    """A double that isn't over x."""
+    try:
+        return float(np.nextafter(float(x), -np.inf)) if abs(x) >= 1 << 53 else float(x)
+    except OverflowError:
+        return -np.inf if x < 0 else np.finfo(float).max
+
+
+def _blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows (uid, id, v, bound) as blocks of vectors of one length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, size):
@@ -35,101 +113,86 @@ def _blocks(rows: DataFrame, size: int, extra: str | None = None) -> DataFrame:
                 lists = part.column(2)
                 lengths = np.diff(lists.offsets.to_numpy())
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
-                for width in np.unique(lengths).tolist():  # vectors of one length each
+                bounds = np.array(part.column(3).to_pylist() + [None], dtype=object)[:-1]
+                for width in np.unique(lengths).tolist():
                     own = lengths == width
-                    data = np.floor(flat[np.repeat(own, lengths)] * 256.0).reshape(own.sum(), width)
-                    columns = [part.column(k).to_numpy(zero_copy_only=False)[own] for k in (0, 1)]
-                    columns += [part.column(3).to_numpy(zero_copy_only=False)[own].astype(np.float64)] if extra else []
-                    yield pa.RecordBatch.from_pylist([{"uids": columns[0].tobytes(), "ids": columns[1].tobytes(), "width": width, "data": data.tobytes()} | ({"extra": columns[2].tobytes()} if extra else {})])
-
-    return rows.select("uid", "id", "v", *([extra] if extra else [])).mapInArrow(run, _FIELDS + (", extra binary" if extra else ""))
-
+                    yield pa.RecordBatch.from_pylist([{"uids": part.column(0).to_numpy()[own].tobytes(), "ids": part.column(1).to_numpy()[own].tobytes(), "width": width, "data": flat[np.repeat(own, lengths)].tobytes(), "bounds": bounds[own].tolist()}], schema=_BLOCK)
 
-def _parts(q: np.ndarray, r: np.ndarray) -> list[np.ndarray]:
-    """Partial scores of each list: whole numbers."""
-    if max(np.abs(q).max(initial=0), np.abs(r).max(initial=0)) > EXACT:
-        q, r = q.astype(object), r.astype(object)
-        q, r = (np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (q, r))
-    cuts = np.linspace(0, q.shape[1], SEGMENTS + 1).astype(int)
-    return [q[:, a:b] @ r[:, a:b].T for a, b in zip(cuts, cuts[1:])]
+    return rows.select("uid", "id", "v", "bound").mapInArrow(run, "uids binary, ids binary, width long, data binary, bounds array<binary>")
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to smaller ids."""
-    return np.lexsort((ids, -scores))[:k]
+_BLOCK = pa.schema([("uids", pa.binary()), ("ids", pa.binary()), ("width", pa.int64()), ("data", pa.binary()), ("bounds", pa.list_(pa.binary()))])
+_FOUND = pa.schema([("quid", pa.int64()), ("qid", pa.int64()), ("uid", pa.int64()), ("id", pa.int64()), ("key", pa.binary())])
 
 
-def _pairs(queries: DataFrame, rows: DataFrame, shards: int, work: Callable, schema: str) -> DataFrame:
-    """work(query block, row block) for each two blocks of one width; both are dealt out over shards by the rows' blocks."""
+def _pairs(queries: DataFrame, rows: DataFrame, shards: int, k: int, last: bool) -> DataFrame:
+    """The phase's best k entries of each query in each block of rows: quid, qid, uid, id, key. Blocks of rows are dealt out to shards, of queries to all."""
     left = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns], F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     right = rows.withColumn("shard", F.pmod(F.xxhash64("uids"), F.lit(shards)).cast("int"))
     joined = left.join(right, (left["shard"] == right["shard"]) & (left["q_width"] == right["width"])).drop("shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                x = {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
+            for k_row in range(batch.num_rows):
+                x = {name: batch.column(i)[k_row].as_py() for i, name in enumerate(batch.schema.names)}
                 ids, qids, uids, quids = (np.frombuffer(x[c], np.int64) for c in ("ids", "q_ids", "uids", "q_uids"))
-                data, q = np.frombuffer(x["data"]).reshape(len(ids), x["width"]), np.frombuffer(x["q_data"]).reshape(len(qids), x["width"])
-                extra = np.frombuffer(x["q_extra"]) if "q_extra" in x else None
-                out = work(_parts(q, data), qids, quids, ids, uids, extra)
-                if len(out[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["quid", "qid", "id", "score"])
+                q, r = (Block(np.frombuffer(x[c]).reshape(n, x["width"])) for c, n in (("q_data", len(qids)), ("data", len(ids))))
+                own = quids[:, None] == uids[None, :]
+                if last:
+                    bounds = [None if b is None else from_key(b) for b in x["q_bounds"]]
+                    at, row, scores = last_phases(q, r, own, bounds)
+                else:
+                    at, row, scores = first_phase(q, r, own, k)
+                keep, seen = [], 0
+                order = sorted(range(len(scores)), key=lambda i: (at[i], -scores[i], ids[row[i]]))
+                before = -1
+                for i in order:  # the k best of each query in this block
+                    seen = seen + 1 if at[i] == before else 1
+                    before = at[i]
+                    if seen <= k and (not last or bounds[at[i]] is None or scores[i] >= bounds[at[i]]):
+                        keep.append(i)
+                if keep:
+                    a, b = at[keep], row[keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(quids[a]), pa.array(qids[a]), pa.array(uids[b]), pa.array(ids[b]), pa.array([order_key(scores[i]) for i in keep], pa.binary())], schema=_FOUND)
+
+    return joined.mapInArrow(run, "quid long, qid long, uid long, id long, key binary")
+
+
+def _as_long(found: DataFrame) -> DataFrame:
+    """query_id, rank, vec_id, score: keys as numbers; scores beyond a long are its nearest end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [min(max(from_key(x.as_py()), _LONG[0]), _LONG[1]) for x in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(scores, pa.int64())], names=["query_id", "rank", "vec_id", "score"])
 
-    return joined.mapInArrow(run, schema)
+    return found.select("qid", "rank", "id", "key").mapInArrow(run, "query_id long, rank int, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows of vectors by the inner product of floor(256 * x).
 
     Queries are the rows where is_query holds; candidates are all rows but the query's own. Ties go to the smaller id. Rows
-    without id, without a vector, or with null or non-finite components take no part; vectors meet those of their own length
-    only. Rows that repeat an id are rows of their own. With fewer candidates than k, all are returned. An empty table gives
-    none.
+    without id, without a vector, or with null or non-finite components (256 * x counts) take no part; vectors meet those of
+    their own length only. Rows that repeat an id are rows of their own. With fewer candidates than k, all are returned.
+    Scores of any size are ranked exactly; one that a long can't hold is returned as the nearest one that it can. An empty
+    table gives none; other columns are ignored.
     """
+    scaled = F.transform(F.col(vec_col).cast("array<double>"), lambda x: x * F.lit(256.0))
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    valid = vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
-    valid = scratch(valid.where((F.size("v") > 0) & F.forall("v", finite)).withColumn("uid", F.monotonically_increasing_id()), "vectors")
-    rows = scratch(_blocks(valid, ROWS), "vector-blocks")
+    valid = vectors.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), scaled.alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+    valid = valid.where((F.size("v") > 0) & F.forall("v", finite))
+    # floor gives a long, which large values leave; they are whole already
+    whole = F.transform("v", lambda x: F.when(F.abs(x) < F.lit(2.0**52), F.floor(x).cast("double")).otherwise(x))
+    valid = scratch(valid.withColumn("v", whole).withColumn("uid", F.monotonically_increasing_id()), "vectors")
+    rows = scratch(_blocks(valid.withColumn("bound", F.lit(None).cast("binary")), ROWS), "vector-blocks")
     asked = valid.where("is_query")
-    shards = max(1, min(2048, rows.count()))
+    shards = max(1, -(-rows.count() // BLOCKS))
     each = max(1, -(-asked.count() // QUERIES))
-    schema = "quid long, qid long, id long, score long"
-
-    def phase1(parts, qids, quids, ids, uids, _):
-        out = [[], [], [], []]
-        total = sum(parts)
-        some = min(k + 1, len(ids))
-        for i in range(len(qids)):
-            seen = np.unique(np.concatenate([np.argpartition(-p[i], some - 1)[:some] for p in parts]))
-            seen = seen[uids[seen] != quids[i]]
-            best = seen[_best(total[i, seen], ids[seen], k)]
-            for c, v in zip(out, (np.full(len(best), quids[i]), np.full(len(best), qids[i]), ids[best], total[i, best])):
-                c.append(v)
-        return out
-
-    first = _pairs(_blocks(asked.repartition(each, "uid"), QUERIES), rows, shards, phase1, schema)
-    ranked = first.withColumn("n", F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("score"), "id"))).where(F.col("n") <= k)
-    bound = ranked.groupBy("quid").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
-    with_bound = asked.join(bound, F.col("uid") == F.col("quid"), "left").select("uid", "id", "v", F.coalesce(F.col("bound").cast("double"), F.lit(float("-inf"))).alias("bound"))
-
-    def phase23(parts, qids, quids, ids, uids, bounds):
-        out = [[], [], [], []]
-        for i in range(len(qids)):
-            cutoff = bounds[i] / SEGMENTS
-            sent = parts[0][i] >= cutoff
-            for p in parts[1:]:
-                sent = sent | (p[i] >= cutoff)
-            at = np.flatnonzero(sent & (uids != quids[i]))
-            exact = sum(p[i, at] for p in parts)
-            keep = at[np.asarray(exact >= bounds[i], dtype=bool)]
-            exact = sum(p[i, keep] for p in parts)
-            order = _best(exact, ids[keep], k)
-            best = keep[order]
-            for c, v in zip(out, (np.full(len(best), quids[i]), np.full(len(best), qids[i]), ids[best], exact[order])):
-                c.append(v)
-        return out
-
-    second = _pairs(_blocks(with_bound.repartition(each, "uid"), QUERIES, "bound"), rows, shards, phase23, schema)
-    rank = F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("score"), "id"))
-    return second.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("qid").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+    rank = F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("key"), "id", "uid"))
+
+    blocks = _blocks(asked.withColumn("bound", F.lit(None).cast("binary")).repartition(each, "uid"), QUERIES)
+    first = _pairs(blocks, rows, shards, k, False).withColumn("rank", rank).where(F.col("rank") <= k)
+    bound = first.groupBy("quid").agg(F.when(F.count(F.lit(1)) >= k, F.min("key")).alias("bound"))
+    with_bound = asked.join(bound, F.col("uid") == F.col("quid"), "left").select("uid", "id", "v", "bound")
+    second = _pairs(_blocks(with_bound.repartition(each, "uid"), QUERIES), rows, shards, k, True)
+    return _as_long(second.withColumn("rank", rank).where(F.col("rank") <= k))
