@@ -10,13 +10,14 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..ship import ship
 
 #: Upper case A-Z and what it becomes; other letters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A side of a join is broadcast up to so many narrow rows, and shuffled beyond.
-BROADCAST_ROWS = 500_000
+#: A side of a join is broadcast up to so many bytes, and shuffled beyond.
+BROADCAST_BYTES = 8 << 20
 
 
 _held: dict[Any, Any] = {}
@@ -40,10 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset and
+    driver and executors are one process (tests)."""
     if given := spark.conf.get("spark.checkpoint.dir", None):
         return given.rstrip("/")
     if not (own := spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="shared-"))
         own = spark.sparkContext.getCheckpointDir()
     return own.rstrip("/")
@@ -57,9 +61,48 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it is counted to be small, else as it is (then joins shuffle)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def row_bytes(df: DataFrame) -> int | None:
+    """Bytes of a row in a hashed relation, about; None if a column's width has no bound."""
+    total = 16
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total += 64  # names; what counts is checked below
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return None
+        else:
+            total += 8
+    return total
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it is counted to hold no more than `most` bytes, else as it is (then joins shuffle).
+
+    Columns of fixed width count as they are, texts by their bytes; a table with arrays, maps or structs is not broadcast.
+    """
+    width = row_bytes(df)
+    if width is None:
+        return df
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    rows = most // width
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(sum(texts[1:], texts[0])) if texts else F.lit(0)).first()
+    return F.broadcast(df) if seen[0] <= rows and seen[0] * width + (seen[1] or 0) <= most else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df hasn't."""
+    taken = {c.lower() for c in df.columns}
+    out = f"__{name}"
+    while out.lower() in taken:
+        out += "_"
+    return out
+
+
+def parts_for(df: DataFrame, n_bytes: int) -> int:
+    """Partitions of about n_bytes each, by the size that the plan gives for df (of files: what they hold), and at least as many as shuffles have."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # a plan without figures counts as very large; then the default number stands
+    parts = -(-size // n_bytes) if size < 1 << 60 else 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, small
+from .common import fresh, scratch, small
 
 #: Weights of the sources in the order of their names, again and again.
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
-#: Documents of one source and size are dealt out over so many cells, so that no group of alike ones is one task.
-SALTS = 64
+#: Documents of one source and size are counted in so many ranges of their hashes, so that no group of alike ones is one task.
+RANGES = 4096
 MAX_STEPS = 40
 TOLERANCE = 1e-9
 
@@ -71,33 +71,90 @@ def solve(cells: DataFrame, goal: DataFrame, cap: float = CAP) -> DataFrame:
     return state
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep, source, size, source_size, target, rate, copies and taken for every row of docs (doc_id, text, source are read).
+def round_cells(rated: DataFrame, cap: float = CAP) -> DataFrame:
+    """rated (source, size, n, rate, target) with copies: how many a cell's documents get in all, a whole number.
 
-    Rates are rounded into copies by systematic sampling along each source's documents in the order of size: running sums of
-    rates, rounded, differ by the copies. So a source's taken words miss its target by less than its longest document, and no
-    document has more than cap copies. Null sources are a source of their own, last in order; null and empty texts have size 0
-    and take 0; equal documents are told apart by the order of doc_id (nulls first); reruns agree; an empty table gives none.
+    Running sums of the rates, rounded, along each source's sizes; so a source misses its target by about half its longest
+    document. What it misses is then made up by single copies of its shortest documents, as far as the cap lets them, and
+    what is left is less than one of these. The windows see a row a source and size.
     """
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    base = scratch(docs.select(*dict.fromkeys((*keep, "doc_id", "source")), sizes(docs).alias("size")).withColumn("salt", salt), "mix-sizes")
-    sub = scratch(base.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")), "mix-cells")
-    cells = sub.groupBy("source", "size").agg(F.sum("n").alias("n"))
+    along = Window.partitionBy("source").orderBy("size")
+    every = Window.partitionBy("source")
+    upto = F.floor(F.round(F.sum(F.col("n") * F.col("rate")).over(along), 6) + F.lit(0.5))
+    x = rated.withColumn("upto", upto)
+    x = x.withColumn("first", F.least(F.col("upto") - F.coalesce(F.lag("upto").over(along), F.lit(0)), F.floor(F.col("n") * F.lit(cap))))
+    x = x.withColumn("missed", F.col("target") - F.sum(F.col("first") * F.col("size")).over(every))
+    # copies that a cell can gain, or lose where the source has too many
+    room = F.when(F.col("missed") > 0, F.floor(F.col("n") * F.lit(cap)) - F.col("first")).otherwise(F.col("first"))
+    x = x.withColumn("room", F.when(F.col("size") > 0, room).otherwise(F.lit(0)))
+    before = F.coalesce(F.sum(F.col("room") * F.col("size")).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    change = F.floor((F.abs("missed") - before) / F.greatest(F.col("size"), F.lit(1)))
+    change = F.greatest(F.lit(0), F.least(F.col("room"), change))
+    return x.withColumn("copies", (F.col("first") + F.when(F.col("missed") > 0, change).otherwise(-change)).cast("long")).drop("upto", "first", "missed", "room")
+
+
+def plan(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """A row for each source and size of base (source, size, h): source_size, target, rate, least, upto.
+
+    A document has `least` copies, and one more if its hash h is no more than upto (null: none has). Of documents with equal
+    hashes at that place none has more. upto is found by counts of ranges of hashes; only the range it lies in is ranked.
+    """
+    cells = scratch(base.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-cells")
     by_source = cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).cast("long").alias("source_size"))
     goal = scratch(targets(by_source, weights, share, cap), "mix-goal")
     solved = solve(cells, goal, cap).select(F.col("source").alias("__s"), "mean", "mult")
     known = small(goal.join(solved, F.col("source").eqNullSafe(F.col("__s")), "left").select(F.col("source").alias("__g"), "source_size", "target", "mean", "mult"))
     rate = F.when(F.col("size") == 0, F.lit(0.0)).when(F.col("mult").isNull(), F.lit(float(cap))).otherwise(F.least(F.exp(F.least(F.col("mult") * F.col("size") / F.col("mean"), F.lit(700.0))), F.lit(float(cap))))
-    rated = cells.join(known, cells["source"].eqNullSafe(known["__g"])).drop("__g").withColumn("rate", rate)
-    # running sums: over the sizes of a source, then over the salts of a size; both see counts, not documents
-    before = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    rated = rated.withColumn("start", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(before), F.lit(0.0))).select(F.col("source").alias("__s"), F.col("size").alias("__z"), "source_size", "target", "rate", "start")
-    within = Window.partitionBy("source", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    places = sub.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    places = places.join(rated, places["source"].eqNullSafe(rated["__s"]) & (places["size"] == rated["__z"]))
-    places = places.select(F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("salt").alias("__a"), "source_size", "target", "rate", "start", "before")
-    rank = F.row_number().over(Window.partitionBy("source", "size", "salt").orderBy("doc_id"))
-    x = base.withColumn("rank", rank).join(places, F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__z")) & (F.col("salt") == F.col("__a")))
-    upto = lambda k: F.floor(F.round(F.col("start") + (F.col("before") + F.col("rank") + k) * F.col("rate"), 6) + F.lit(0.5))
-    copies = F.greatest(F.lit(0), F.least(upto(0) - upto(-1), F.floor(F.lit(float(cap))))).cast("long")
-    return x.withColumn("copies", copies).select(*keep, "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    rated = cells.join(known, cells["source"].eqNullSafe(known["__g"])).withColumn("rate", rate)
+    rounded = round_cells(rated.select("source", "size", "n", "source_size", "target", "rate"), cap)
+    rounded = scratch(rounded.withColumns({"least": F.floor(F.col("copies") / F.col("n")), "more": F.col("copies") % F.col("n")}), "mix-copies")
+    split = small(rounded.where("more > 0").select(F.col("source").alias("__s"), F.col("size").alias("__z"), "more"))
+    part = F.floor(F.col("h") / F.lit(2.0**64 / RANGES))
+    drawn = base.withColumn("part", part).join(split, F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__z")))
+    counts = drawn.groupBy("source", "size", "more", "part").agg(F.count(F.lit(1)).alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("source", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = counts.withColumn("before", before).where((F.col("before") <= F.col("more")) & (F.col("more") < F.col("before") + F.col("c")))
+    at = small(scratch(at.select(F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("part").alias("__p"), (F.col("more") - F.col("before")).alias("rest")), "mix-ranges"))
+    # the first document that has no more: those with lesser hashes have
+    inside = base.withColumn("part", part).join(at, F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__z")) & (F.col("part") == F.col("__p")))
+    ranked = inside.withColumn("place", F.row_number().over(Window.partitionBy("source", "size").orderBy("h"))).where(F.col("place") == F.col("rest") + 1)
+    upto = ranked.select(F.col("source").alias("__s"), F.col("size").alias("__z"), (F.col("h") - 1).alias("upto"))
+    joined = rounded.join(upto, F.col("source").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__z")), "left")
+    return scratch(joined.select("source", "size", "source_size", "target", "rate", "least", "upto"), "mix-plan")
+
+
+def _hash(text: str) -> Column:
+    return F.xxhash64("doc_id", text)
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """keep, source, size, source_size, target, rate, copies and taken for every row of docs (doc_id, text, source are read).
+
+    Rates are rounded into copies cell by cell (round_cells), and within a cell of equal source and size by the hash of
+    doc_id and text. So a source's taken words miss its target by less than one of its short documents, if enough of these
+    are there, and no document has more than cap copies. Null sources are a source of their own, last in order; null and empty
+    texts have size 0 and take 0; rows equal in doc_id and text are taken alike; reruns agree; an empty table gives none.
+    keep must not hold the names of the columns added; `repeat` has no such bound.
+    """
+    base = scratch(docs.select(*dict.fromkeys((*keep, "source")), sizes(docs).alias("size"), _hash("text").alias("__h")), "mix-sizes")
+    found = plan(base.select("source", "size", F.col("__h").alias("h")), weights, share, cap)
+    found = small(found.withColumnsRenamed({"source": "__s", "size": "__z"}))
+    x = base.join(found, base["source"].eqNullSafe(F.col("__s")) & (base["size"] == F.col("__z")))
+    copies = (F.col("least") + F.coalesce((F.col("__h") <= F.col("upto")).cast("long"), F.lit(0))).cast("long")
+    return x.withColumn("copies", copies).select(*keep, *(c for c in ("source", "size") if c not in keep), "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """docs in as many copies of each row as the mix takes, with all columns whatever their names; rows without words stay once.
+
+    Only source, size and a hash of each row are shuffled; texts meet the plan, a row a source and size, where they are.
+    """
+    h, size, source = fresh(docs, "h"), fresh(docs, "size"), fresh(docs, "source")
+    added = {name: fresh(docs, name) for name in ("least", "upto", "times")}
+    narrow = scratch(docs.select("source", sizes(docs).alias("size"), _hash("text").alias("h")), "mix-sizes")
+    found = small(plan(narrow, weights, share, cap).select(F.col("source").alias(source), F.col("size").alias(size), F.col("least").alias(added["least"]), F.col("upto").alias(added["upto"])))
+    wide = docs.withColumns({h: _hash("text"), fresh(docs, "own"): sizes(docs)})
+    x = wide.join(found, wide["source"].eqNullSafe(found[source]) & (wide[fresh(docs, "own")] == found[size]))
+    copies = F.col(added["least"]) + F.coalesce((F.col(h) <= F.col(added["upto"])).cast("long"), F.lit(0))
+    times = F.when(F.col(size) == 0, F.lit(1)).otherwise(copies).cast("int")
+    return x.withColumn(added["times"], F.explode(F.array_repeat(F.lit(0), times))).select(*(F.col(f"`{c}`") for c in docs.columns))
