@@ -8,37 +8,48 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Length of vectors, letters of an n-gram, and letters apart from the space (others share these by code point).
-DIM, N, SYMBOLS = 1024, 3, 1024
+from .common import scratch
+
+#: Length of vectors, and letters of an n-gram.
+DIM, N = 1024, 3
 SEED = 20240
 #: Texts are encoded in pieces of so many letters, so that memory stays bounded.
 PIECE = 1 << 20
-#: Languages that may be learned; each adds one vector to the model.
-MAX_LANGS = 2000
+#: Prototypes that are sent to workers at once; more languages make more passes.
+LANGS_AT_ONCE = 2000
+#: Bits of a code point.
+_BITS = 21
 
 
 @cache
 def _letters() -> np.ndarray:
-    """Symbol of each code point: 0 where it is no letter."""
-    table = np.zeros(0x110000, dtype=np.int32)
-    for cp in range(0x110000):
-        if chr(cp).isalpha():
-            table[cp] = 1 + cp % (SYMBOLS - 1)
-    return table
+    """Of each code point itself if it is a letter, else 0."""
+    return np.array([cp if chr(cp).isalpha() else 0 for cp in range(0x110000)], dtype=np.int32)
 
 
-@cache
-def _vectors() -> list[np.ndarray]:
-    """Of each place in an n-gram, the letters' vectors, permuted (rotated) once a place."""
-    base = np.random.default_rng(SEED).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, DIM))
-    return [np.roll(base, N - 1 - k, axis=1).copy() for k in range(N)]
+@lru_cache(maxsize=4096)
+def _vector(letter: int) -> np.ndarray:
+    """The letter's own vector, drawn from a stream that its code point seeds."""
+    return np.random.default_rng([SEED, letter]).choice(np.array([-1, 1], dtype=np.int8), DIM)
+
+
+def bind(ids: np.ndarray) -> np.ndarray:
+    """Vectors of n-grams: their letters' vectors, each permuted (rotated) by its place, multiplied."""
+    out = np.ones((len(ids), DIM), np.int8)
+    for k in range(N):
+        letters, at = np.unique(ids >> _BITS * (N - 1 - k) & (1 << _BITS) - 1, return_inverse=True)
+        for start in range(0, len(letters), 1024):
+            rolled = np.stack([np.roll(_vector(x), N - 1 - k) for x in letters[start : start + 1024].tolist()])
+            own = (at >= start) & (at < start + 1024)
+            out[own] *= rolled[at[own] - start]
+    return out
 
 
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +62,7 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
         s = s[(s > 0) | np.concatenate([[True], s[:-1] > 0])]
         if len(s) < N or not s.any():
             continue
-        ids, n = np.unique(sum(s[k : len(s) - N + 1 + k] * SYMBOLS ** (N - 1 - k) for k in range(N)), return_counts=True)
+        ids, n = np.unique(sum(s[k : len(s) - N + 1 + k] << _BITS * (N - 1 - k) for k in range(N)), return_counts=True)
         if len(text) <= PIECE:
             return ids, n
         counts = counts or {}
@@ -80,13 +91,10 @@ class Encoder:
         if new := [i for i in keys if i not in self.at]:
             if len(self.at) + len(new) > self.room:
                 self.at, new = {}, keys
-            start, a = len(self.at), np.array(new, np.int64)
+            start = len(self.at)
             while start + len(new) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            bound = np.ones((len(new), DIM), np.int8)
-            for k, v in enumerate(_vectors()):
-                bound *= v[a // SYMBOLS ** (N - 1 - k) % SYMBOLS]
-            self.rows[start : start + len(new)] = bound
+            self.rows[start : start + len(new)] = bind(np.array(new, np.int64))
             self.at.update(zip(new, range(start, start + len(new))))
         rows = self.rows[list(map(self.at.__getitem__, keys))]
         if int(counts.sum()) < 1 << 24:
@@ -99,8 +107,8 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 5 == 0
 
 
-def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order and their prototypes, from text and lang of the rows that aren't held out.
+def learn(docs: DataFrame) -> DataFrame:
+    """lang and v: the languages' prototypes, from text and lang of the rows that aren't held out, as a written table.
 
     Each task bundles its rows, so that a vector a language and task is all that is sent.
     """
@@ -112,45 +120,60 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
                     ids, n = ngrams(text)
                     if len(ids):
                         sums[lang] = sums.get(lang, 0) + encoder.bundle(ids, n)
+                        if len(sums) >= LANGS_AT_ONCE:
+                            yield rows(sums)
+                            sums = {}
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.astype(np.int64).tolist() for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "v"])
+            yield rows(sums)
+
+    def rows(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.astype(np.int64).tolist() for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "v"])
 
     parts = docs.select("doc_id", "text", "lang").mapInArrow(run, "lang string, v array<long>")
     summed = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
-    rows = summed.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))), lambda p: p["x"]).alias("v")).limit(MAX_LANGS + 1).collect()
-    if len(rows) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    rows.sort(key=lambda r: r["lang"])
-    return [r["lang"] for r in rows], np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), DIM)
+    return scratch(summed.groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "x"))), lambda p: p["x"]).alias("v")), "languages")
 
 
-def language_id(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:
+def language_id(docs: DataFrame, model: DataFrame | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred and score (cosine, at least 0) for every row of docs.
 
-    Learns from docs unless a model is given. Null texts, texts without a letter, and all texts if nothing could be learned,
-    are `und` with score 0.0. Ties go to the language that sorts first; repeated rows are judged one by one.
+    Learns from docs unless a model (see learn) is given. Null texts, texts without a letter, and all texts if nothing could
+    be learned, are `und` with score 0.0. Ties go to the language that sorts first; repeated rows are judged one by one; other
+    columns are ignored. Prototypes are sent to the workers LANGS_AT_ONCE at a time; with more languages, each pass goes on
+    from the best of the passes before.
     """
-    langs, prototypes = model or learn(docs)
+    model = learn(docs) if model is None else model
+    names = sorted(r["lang"] for r in model.select("lang").collect())  # a row a language
+    passes = [names[k : k + LANGS_AT_ONCE] for k in range(0, len(names), LANGS_AT_ONCE)] or [[]]
+    x = docs.select("doc_id", "text", F.lit("und").alias("lang_pred"), F.lit(None).cast("double").alias("score"))
+    for k, some in enumerate(passes):
+        x = _judge(x, model.where(F.col("lang").between(some[0], some[-1])).collect() if some else [])
+        x = scratch(x, "languages") if k + 1 < len(passes) else x
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+    return x.select("doc_id", held.alias("held_out"), "lang_pred", F.when(F.col("score").isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))).alias("score"))
+
+
+def _judge(x: DataFrame, rows: list) -> DataFrame:
+    """x (doc_id, text, lang_pred, score) with those of the languages in rows in place of lesser scores."""
+    rows = sorted(rows, key=lambda r: r["lang"])
+    langs, prototypes = [r["lang"] for r in rows], np.array([r["v"] for r in rows], dtype=np.float64).reshape(len(rows), DIM)
     length = np.linalg.norm(prototypes, axis=1)
     unit = prototypes / np.where(length > 0, length, 1)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder()
         for batch in batches:
-            names, scores = [], []
-            for text in batch.column(1).to_pylist():
+            names, scores = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 ids, n = ngrams(text or "")
                 if not len(ids) or not langs:
-                    names.append("und")
-                    scores.append(0.0)
                     continue
                 v = encoder.bundle(ids, n)
                 cosines = unit @ (v / max(float(np.linalg.norm(v)), 1e-12))
                 k = int(np.argmax(cosines))
-                names.append(langs[k])
-                scores.append(min(1.0, max(0.0, round(float(cosines[k]), 9))))
-            ids = batch.column(0)
-            yield pa.RecordBatch.from_arrays([ids, pa.array([held_out(i) for i in ids.to_pylist()], pa.bool_()), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+                score = round(float(cosines[k]), 9)
+                if scores[i] is None or score > scores[i]:
+                    names[i], scores[i] = langs[k], score
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=batch.schema.names)
 
-    narrow = docs.select("doc_id", "text")
-    return narrow.mapInArrow(run, narrow.select("doc_id").schema.add("held_out", "boolean").add("lang_pred", "string").add("score", "double"))
+    return x.mapInArrow(run, x.schema)
