@@ -4,19 +4,42 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, scratch, small
+
 #: Bytes that part words, and those that don't begin a code point.
 _SPACE = b" \t\n\v\f\r"
 _DROP = _SPACE + bytes(range(0x80, 0xC0))
 _SYMBOLS = b"#*$%&|<>"
-#: Measures that the method judges: name -> (least width of the fence above the upper quartile, fence below as well?).
-MEASURES = {"symbol_rate": (0.10, False), "dup_line_rate": (0.50, False), "repeat_rate": (0.40, False), "mean_word": (3.0, True)}
-#: Fences stand so many interquartile ranges away from the quartiles.
-WIDTH = 6.0
+@dataclass(frozen=True)
+class Measure:
+    """A count by the word, and how its fences follow from a group's quantiles.
+
+    Above: the quantile `high` and `wide` times as far again as it lies over the median; below likewise, if both. The count
+    (in steps of `step`) may go beyond by THREE times what chance gives it, so that short documents aren't judged by chance,
+    nor by a single sign in groups whose rates are 0.
+    """
+
+    count: str
+    high: float
+    wide: float
+    step: int = 1
+    both: bool = False
+
+
+#: Rare kinds of junk make up less than a quarter of a group, but repetition is a tail of good documents too.
+MEASURES = {
+    "symbol_rate": Measure("n_symbols", 0.75, 6.0),
+    "dup_line_rate": Measure("n_dup_lines", 0.95, 6.0),
+    "repeat_rate": Measure("n_repeat_words", 0.95, 6.0, 3),
+    "mean_word": Measure("word_chars", 0.75, 8.0, both=True),
+}
+THREE = 3.0
 #: Groups of fewer rows take the fences of their language, and if that has too few too, of all rows.
 LEAST_ROWS = 200
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -68,26 +91,25 @@ def with_stats(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> Da
 
 def _measures() -> dict[str, Column]:
     words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    return {"symbol_rate": F.col("n_symbols") / words, "dup_line_rate": 10 * F.col("n_dup_lines") / words, "repeat_rate": F.col("n_repeat_words") / words, "mean_word": F.col("word_chars") / words}
+    return {name: F.col(m.count) / words for name, m in MEASURES.items()}
 
 
 def fences(measured: DataFrame) -> DataFrame:
-    """A row for each lang and source, with lo_ and hi_ of each measure.
+    """A row for each lang and source (__lang, __source), with lo_ and hi_ of each measure.
 
     Each (lang, source) keeps one KLL sketch a measure, built map-side and merged over partitions; the sketches of sources
     merge into those of languages and of the whole, which stand in where a group has fewer than LEAST_ROWS rows.
     """
-    by_source = measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m).alias(m) for m in MEASURES))
+    by_source = scratch(measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m).alias(m) for m in MEASURES)), "sketches")
 
     def merged(groups: DataFrame, *keys: str) -> DataFrame:
         return groups.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(m).alias(m) for m in MEASURES))
 
     def limits(groups: DataFrame, mark: str, *keys: str) -> DataFrame:
         out = [F.col("n").alias(f"n_{mark}")]
-        for m, (least, both) in MEASURES.items():
-            q1, q3 = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.25, 0.75))
-            wide = F.greatest(F.lit(least), WIDTH * (q3 - q1))
-            out += [(q1 - wide if both else F.lit(float("-inf"))).alias(f"lo_{m}_{mark}"), (q3 + wide).alias(f"hi_{m}_{mark}")]
+        for name, m in MEASURES.items():
+            low, mid, high = (F.kll_sketch_get_quantile_double(name, F.lit(q)) for q in (1 - m.high, 0.5, m.high))
+            out += [(low - m.wide * (mid - low) if m.both else F.lit(float("-inf"))).alias(f"lo_{name}_{mark}"), (high + m.wide * (high - mid)).alias(f"hi_{name}_{mark}")]
         return groups.select(*keys, *out)
 
     by_lang = merged(by_source, "lang")
@@ -100,6 +122,27 @@ def fences(measured: DataFrame) -> DataFrame:
     return joined.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), *(pick(f"{side}_{m}").alias(f"{side}_{m}") for m in MEASURES for side in ("lo", "hi")))
 
 
+def _inside() -> Column:
+    """Whether a document stands within all fences of its group."""
+    out, words = F.lit(True), F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    for name, m in MEASURES.items():
+        chance = lambda due: F.lit(THREE) * F.sqrt(m.step * due + F.lit(float(m.step**2)))  # noqa: B023, E731
+        most, least = F.col(f"hi_{name}") * words, F.greatest(F.col(f"lo_{name}") * words, F.lit(0.0))
+        fits = (F.col(m.count) <= most + chance(most)) & (F.col(m.count) >= least - chance(least))
+        out = out & F.coalesce(fits, F.lit(True))
+    return out
+
+
+def judge(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """keep, the five counts, base_failed and kept for every row of docs; keep must not hold their names."""
+    stats = scratch(with_stats(docs, tuple(dict.fromkeys((*keep, "lang", "source")))), "quality")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    measured = stats.withColumns({"base_failed": failed, **_measures()})
+    limits = small(scratch(fences(measured.where(~F.col("base_failed"))), "fences"))
+    joined = measured.join(limits, measured["lang"].eqNullSafe(limits["__lang"]) & measured["source"].eqNullSafe(limits["__source"]), "left")
+    return joined.select(*keep, *(x.split()[0] for x in STATS.split(", ")), "base_failed", (~F.col("base_failed") & _inside()).alias("kept"))
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """doc_id, the five counts, base_failed and kept for every row of docs (doc_id, text, lang, source; others are ignored).
 
@@ -107,14 +150,18 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     windows. The method then drops those that stand outside the fences of their language and source. Null texts are empty
     and fail; null lang or source are groups of their own; repeated rows are judged one by one; an empty table gives none.
     """
-    from .common import scratch, small
+    return judge(docs)
 
-    stats = scratch(with_stats(docs, ("doc_id", "lang", "source")), "quality")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    measured = stats.withColumns({"base_failed": failed, **_measures()})
-    limits = small(fences(measured.where(~F.col("base_failed"))))
-    inside = F.lit(True)
-    for m in MEASURES:
-        inside = inside & F.coalesce(F.col(m).between(F.col(f"lo_{m}"), F.col(f"hi_{m}")), F.lit(True))
-    joined = measured.join(limits, measured["lang"].eqNullSafe(limits["__lang"]) & measured["source"].eqNullSafe(limits["__source"]), "left")
-    return joined.select("doc_id", *(x.split()[0] for x in STATS.split(", ")), "base_failed", (~F.col("base_failed") & inside).alias("kept"))
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of docs that are kept, with all their columns, whatever these are named; rows that repeat an id are judged each for itself.
+
+    A verdict depends on text, lang and source only, so that rejected rows are told by these (the text by its hash) and doc_id.
+    """
+    h = F.xxhash64("text")
+    found = judge(docs.select("doc_id", "text", "lang", "source", h.alias("__h")), ("doc_id", "lang", "source", "__h"))
+    names = {c: fresh(docs, c) for c in ("doc_id", "lang", "source", "h")}
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(names["doc_id"]), F.col("lang").alias(names["lang"]), F.col("source").alias(names["source"]), F.col("__h").alias(names["h"]))
+    gone = small(scratch(gone.distinct(), "rejected"))
+    same = docs["doc_id"].eqNullSafe(gone[names["doc_id"]]) & docs["lang"].eqNullSafe(gone[names["lang"]]) & docs["source"].eqNullSafe(gone[names["source"]])
+    return docs.join(gone, same & (F.xxhash64(docs["text"]) == gone[names["h"]]), "left_anti")
