@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, scratch, small
+from .common import fresh, held, scratch, small
 
 #: Words of a shingle; similarity as a fraction.
 WORDS, SHARE, OF = 5, 80, 100
@@ -190,27 +190,28 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], rank[order]
 
 
-def _sets(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """doc_id, node (a hash of the set), n and prefix of each row."""
+def _sets(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, seed: int = 0) -> DataFrame:
+    """doc_id, h, node (a hash of the set), proof (a second one), n and prefix of each row of docs (doc_id, h, text)."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent, rank))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, places = shared.value
         for batch in batches:
-            nodes, sizes, prefixes = [], [], []
-            for text in batch.column(1):
+            nodes, proofs, sizes, prefixes = [], [], [], []
+            for text in batch.column(2):
                 s = shingles(text.as_py())
-                nodes.append(node(s))
+                nodes.append(node(s, seed))
+                proofs.append(node(s, ~seed & 0xFFFF))
                 sizes.append(len(s))
                 prefixes.append(prefix(s, keys, places).view(np.int64) if len(s) else s.view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))], names=["doc_id", "node", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(proofs, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))], names=["doc_id", "h", "node", "proof", "n", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, h long, node long, proof long, n long, prefix array<long>")
 
 
-def node(s: np.ndarray) -> int:
-    return int(np.array(xxhash.xxh64_intdigest(s.tobytes()), np.uint64).view(np.int64)) if len(s) else 0
+def node(s: np.ndarray, seed: int = 0) -> int:
+    return int(np.array(xxhash.xxh64_intdigest(s.tobytes(), seed=seed), np.uint64).view(np.int64)) if len(s) else 0
 
 
 def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -367,12 +368,12 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     tagged = scratch(rest.join(small(most.select(F.col("g").alias("__g"), "largest")), F.col("g") == F.col("__g")).drop("__g"), "tagged")
     blocks_of = tagged.join(small(placed.select(F.col("node").alias("__n"), "block")), F.col("node") == F.col("__n"))
     blocks_of = blocks_of.groupBy("g", "block").agg(F.max("root").alias("hi"), F.max(F.col("root") == F.col("largest")).alias("top"), F.min("n").alias("least"), F.max("n").alias("most"))
-    to = scratch(blocks_of.groupBy("g").agg(F.collect_list(F.struct("block", "hi", "top", "least", "most")).alias("to")).select(F.col("g").alias("__g"), "to"), "held")
-    asks = tagged.where("root <> largest").join(small(to), F.col("g") == F.col("__g")).select("node", "n", "w", "root", F.explode("to").alias("to"))
+    to = scratch(blocks_of.select(F.col("g").alias("__g"), "block", F.col("hi").alias("top_root"), "top", "least", "most"), "held")
+    asks = tagged.where("root <> largest").join(small(to), F.col("g") == F.col("__g"))
     # of two components outside the largest one, the one with the lesser root asks
-    asks = asks.where((F.col("to.hi") > F.col("root")) | F.col("to.top"))
-    lo, hi = _sizes(F.col("n"), F.col("to.least"), F.col("to.most"))
-    asks = asks.select("node", "n", "w", F.col("to.block").alias("block"), lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
+    asks = asks.where((F.col("top_root") > F.col("root")) | F.col("top"))
+    lo, hi = _sizes(F.col("n"), F.col("least"), F.col("most"))
+    asks = asks.select("node", "n", "w", "block", lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
     # of the groups that a pair shares one node asks in some and the other in the rest: one of them has half of the weight
     asks = asks.groupBy("node", "block").agg(F.sum("w").alias("w"), F.first("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     asks = asks.where(_may_share(F.col("n"), F.col("lo"), F.col("hi"), 2 * F.col("w")))
@@ -386,7 +387,7 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     return left.groupBy("block_a", "share_a").cogroup(right.groupBy("block_b", "share_b")).applyInArrow(_search, "a long, b long")
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node and root for each node in links (a, b): the least node that links lead to.
 
     Least labels spread along links and jump to their label's label, so that rounds grow with the logarithm of the longest
@@ -394,7 +395,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """
     both = scratch(links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links")
     state = scratch(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "roots")
-    for _ in range(rounds):
+    while True:
         other = state.select(F.col("node").alias("b"), "root")
         near = both.join(other, "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         spread = scratch(state.join(near, "node", "left").select("node", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("old")), "roots")
@@ -403,20 +404,19 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         state = after.select("node", "root")
         if after.where("root <> old").isEmpty():
             return state
-    raise RuntimeError("links don't settle")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row of docs (doc_id long, text; other columns are ignored).
-
-    component_id is the least doc_id of the component; null ids are left aside unless all are null. Rows without words are
-    alone, even those that are alike. Repeated rows share a component. An empty table gives none. Shingles are compared by
-    64-bit hashes.
-    """
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _rooted(docs: DataFrame) -> DataFrame:
+    """doc_id, h, n and root of every row of docs (doc_id, h, text); root: a node of its component that all its rows share, null without words."""
+    narrow = docs.select("doc_id", "h", "text")
     frequent, rank = _frequent(narrow.select("text"))
-    rows = scratch(_sets(narrow, frequent, rank), "sets")
-    nodes = scratch(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"), F.first("n").alias("n")), "nodes")
+    for seed in range(64):
+        rows = scratch(_sets(narrow, frequent, rank, seed), "sets")
+        told = rows.where("n > 0").groupBy("node").agg(F.first("prefix").alias("prefix"), F.first("n").alias("n"), (F.max("n") - F.min("n")).alias("sizes"), (F.max("proof") != F.min("proof")).alias("mixed"))
+        nodes = scratch(told, "nodes")
+        if nodes.where("mixed OR sizes > 0").isEmpty():  # else two sets have one hash: with another seed they haven't
+            break
+    nodes = nodes.select("node", "prefix", "n")
     groups = _groups(nodes, frequent)
     totals = groups.groupBy("node").agg(F.sum("w").alias("total"), F.first("n").alias("n"))
     sides = [totals.select(F.col("node").alias(c), F.col("total").alias(f"total_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab"]
@@ -426,16 +426,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pairs = scratch(pairs.where(_may_link(F.col("n_a"), F.col("n_b"), most)).select("a", "b"), "pairs")
     involved = groups.select("node").distinct()
     # the sets of nodes that may have a link, from one row each
-    owners = small(rows.join(small(involved), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
-    few = narrow.join(owners, narrow["doc_id"].eqNullSafe(owners["doc_id"]), "left_semi")
+    owners = scratch(rows.join(small(involved), "node").groupBy("node").agg(F.min(F.struct("doc_id", "h")).alias("o")).select(F.col("o.doc_id").alias("__d"), F.col("o.h").alias("__h")).distinct(), "owners")
+    few = narrow.join(small(owners), narrow["doc_id"].eqNullSafe(F.col("__d")) & (narrow["h"] == F.col("__h")), "left_semi")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(t.as_py()) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array([node(s, seed) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "s"])
 
     packed = few.select("text").mapInArrow(pack, "node long, s binary")
-    if few.select("doc_id").count() > owners.count():  # ids repeat, so that sets may
+    if few.select("doc_id").count() > owners.count():  # rows repeat, so that sets may
         packed = packed.groupBy("node").agg(F.first("s").alias("s"))
     sets = scratch(packed, "shingles")
     links = scratch(_verify(pairs, sets), "links")
@@ -446,24 +446,49 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         links = scratch(links.union(_across(rest, sets)), "links")
         first = components(links)
-    named = nodes.select("node", "least").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    lookup = named.select("node", "root").join(least, "root").select(F.col("node").alias("__n"), "component_id")
-    out = rows.select("doc_id", "node", "n").join(small(lookup), F.col("node") == F.col("__n"), "left")
+    named = nodes.select("node").join(first, "node", "left").select(F.col("node").alias("__n"), F.coalesce("root", "node").alias("root"))
+    out = rows.select("doc_id", "h", "node", "n").join(small(named), F.col("node") == F.col("__n"), "left")
+    return out.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"))
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id for every row of docs (doc_id long, text; other columns are ignored).
+
+    component_id is the least doc_id of the component; null ids are left aside unless all are null. Rows without words are
+    alone, even those that are alike. Repeated rows share a component. An empty table gives none. Shingles are compared by
+    64-bit hashes; sets are the same if two hashes of 64 bits are.
+    """
+    rows = scratch(_rooted(_hashed(docs)), "rooted")
+    least = rows.where("n > 0").groupBy(F.col("root").alias("__r")).agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(small(scratch(least, "least")), F.col("root") == F.col("__r"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without the rows that another stands for: of each component the row with the least doc_id stays, with its columns.
+    """docs without the rows that another stands for, with all columns, whatever these are named.
 
-    Rows without words all stay; of rows that repeat the id that stays, one does.
+    Of each component the row with the least doc_id stays (nulls last; then the least hash of the text); of rows equal in
+    both, one does. Rows without words all stay. Different texts under one id, or without id, are told apart by their hashes.
     """
-    found = jaccard_components(docs)
-    going = scratch(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__d")).distinct(), "going")
-    staying = docs.join(small(going), docs["doc_id"].cast("long").eqNullSafe(F.col("__d")), "left_anti")
-    # a repeated id: one row of each stays
-    again = small(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("n_shingles").alias("w")).where("n > 1 and w > 0").select(F.col("doc_id").alias("__d")))
+    rows = scratch(_rooted(_hashed(docs)).where("n > 0"), "rooted")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "h")
+    least = rows.groupBy(F.col("root").alias("__r")).agg(F.min(place).alias("first"), F.count_if(F.lit(True)).alias("c")).select("__r", F.col("first.doc_id").alias("__d"), F.col("first.h").alias("__h"), "c")
+    least = scratch(least, "least")
+    tagged = rows.join(small(least.where("c > 1")), F.col("root") == F.col("__r"))
+    stands = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("h") == F.col("__h"))
+    d, h = fresh(docs, "doc_id"), fresh(docs, "h")
+    going = scratch(tagged.where(~stands).select(F.col("doc_id").alias(d), F.col("h").alias(h)).distinct(), "going")
+    again = scratch(tagged.where(stands).groupBy(F.col("doc_id").alias(d), F.col("h").alias(h)).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(d, h), "again")
+    same = lambda x: docs["doc_id"].cast("long").eqNullSafe(x[d]) & (F.xxhash64(docs["text"]) == x[h])
+    gone = small(going.unionByName(again))
+    staying = docs.join(gone, same(gone), "left_anti")
     if again.isEmpty():
         return staying
-    twice = staying.join(again, staying["doc_id"].cast("long").eqNullSafe(F.col("__d")), "left_semi").dropDuplicates(["doc_id"])
-    return staying.join(again, staying["doc_id"].cast("long").eqNullSafe(F.col("__d")), "left_anti").unionByName(twice)
+    twice = small(again)
+    # equal rows that stand for their component: one of each
+    wide = docs.join(twice, same(twice), "left_semi").withColumn(h, F.xxhash64("text"))
+    return staying.unionByName(wide.dropDuplicates(["doc_id", h]).drop(h))
