@@ -25,6 +25,15 @@ TEMPLATES = (
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License"),
+    ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("agpl", "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages"),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("public-domain", "This is free and unencumbered software released into the public domain"),
 )
 #: Least share of a template's words that a window must hold.
