@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import Chunks, by_spaces, chunks
-from .common import held, scratch, shared_dir
+from .common import held, parts_for, scratch, shared_dir
 
 #: Fixed values of the seekable format: magic numbers, and the flag for checksums.
 _SKIP_TABLE, _SKIP_IDS, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
 END_ID = 2
-#: Pieces whose ids are remembered.
-MAX_PIECES = 900_000
+#: Pieces in each of two generations whose ids are remembered.
+MAX_PIECES = 800_000
+#: Bytes of text that a file is meant to hold: the number of files grows with the table.
+FILE_BYTES = 64 << 20
 
 
 class Writer:
@@ -96,53 +98,72 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Library:
-    """Whole texts encoded by the tokenizers library; frequent pieces between spaces are handed to it once.
+    """Whole texts encoded by the tokenizers library; pieces between spaces that come again are handed to it once.
 
-    The vocabulary's own splitting never lets a match lie across those cuts, so that ids are those of the whole text.
+    The vocabulary's own splitting never lets a match lie across those cuts, so that ids are those of the whole text. Texts
+    that hold the string of an added token go to the library whole, as it cuts them there first.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = MAX_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.room = Tokenizer.from_file(path), room
         vocabulary = self.tokenizer.get_vocab()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
-        self.first = Chunks(self._ids, MAX_PIECES)
-        self.after: dict[str, bytes] = {}  # ids of pieces with a space in front
+        self.first = Chunks(self._ids, room)
+        self.after: dict[str, bytes] = {}  # ids of pieces with a space in front, in two generations
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        cut, unknown, after = [by_spaces(text or "") for text in texts], set(), self.after
-        for parts in cut:
-            if parts is not None:
-                unknown |= set(parts[1:]).difference(after)
-        room = max(0, MAX_PIECES - len(after))
-        new = sorted(unknown)
-        after.update(zip(new, self._pieces(new)))
-        out = []
-        for text, parts in zip(texts, cut):
-            if not text:
-                out.append(b"")
-            elif parts is None:
+        out: list[bytes | None] = []
+        waiting: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
+        new: dict[str, bytes | None] = {}
+        known, old = self.after.get, self.old.get
+        for text in texts:
+            if not text or any(t in text for t in self.added):
+                out.append(self._ids(text) if text else b"")
+                continue
+            parts = by_spaces(text)
+            if parts is None:
                 out.append(b"".join(map(self.first.__getitem__, chunks(text))))
+                continue
+            found = list(map(known, parts))
+            found[0] = self.first[parts[0]]
+            if None in found:
+                gaps = [k for k, ids in enumerate(found) if ids is None]
+                waiting.append((len(out), parts, found, gaps))
+                for k in gaps:
+                    new[parts[k]] = None
+                out.append(None)
             else:
-                out.append(self.first[parts[0]] + b"".join(map(after.__getitem__, parts[1:])))
-        for p in new[room:]:
-            del after[p]
+                out.append(b"".join(found))
+        unknown = []
+        for piece in sorted(new):  # neighbours that begin alike are encoded faster
+            new[piece] = old(piece)
+            if new[piece] is None:
+                unknown.append(piece)
+        new.update(zip(unknown, self._pieces(unknown)))
+        for k, parts, found, gaps in waiting:
+            for i in gaps:
+                found[i] = new[parts[i]]
+            out[k] = b"".join(found)
+        self.after.update((piece, ids) for piece, ids in new.items() if len(piece) < 64)
+        if len(self.after) >= self.room:
+            self.old, self.after = self.after, {}
         return out
 
     def _pieces(self, new: list[str]) -> list[bytes]:
         """Ids of each piece with a space in front. Many go to the library as one text; tokens that begin with the space part them."""
         out: list[bytes] = []
-        for at in range(0, len(new), 2000):
-            group = new[at : at + 2000]
+        for at in range(0, len(new), 256):
+            group = new[at : at + 256]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + p for p in group])], add_special_tokens=False)[0].ids, dtype="<u4")
             starts = np.flatnonzero(self.spaced[ids])
             if len(starts) == len(group) and starts[0] == 0:
@@ -183,7 +204,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
 
     # the bounds of ranges are found from a sample of narrow keys, not of texts
     keyed = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text"))
-    ordered = keyed.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
+    ordered = keyed.repartitionByRange(parts_for(docs, FILE_BYTES), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     return scratch(ordered.mapInArrow(run, "part long, path string, n_docs long, n_tokens long"), "token-files")
 
 
@@ -206,7 +227,8 @@ def read_token_files(files: DataFrame) -> DataFrame:
                         start += len(ids) // 4
                     yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([(name, pa.int64()) for name in rows]))
 
-    dealt = starts.select("path", "start").repartition("path")
+    # each file is some task's own: the number is the files', so that it isn't coalesced
+    dealt = starts.select("path", "start").repartition(max(1, files.count()), "path")
     return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
