@@ -6,43 +6,39 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.llm import bpe, jaccard, mixing, quality, secrets
-from sluice.llm.common import scratch, shared_dir, small, table
+from sluice.llm.common import shared_dir, table
 from sluice.llm.queries import _tokenizers
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Rows that repeat an id go together: all of them if one is rejected."""
-    rejected = scratch(quality.quality_rules(docs).where("NOT kept").select(F.col("doc_id").alias("__d")).distinct(), "rejected")
-    return docs.join(small(rejected), docs["doc_id"].eqNullSafe(F.col("__d")), "left_anti")
+    """Documents that the quality rules keep, each row judged for itself. Null texts are empty and go; other columns stay."""
+    return quality.keep_good(docs)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One row of each group of near duplicates; rows without words all stay, as do other columns."""
     return jaccard.keep_one(docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the secrets in their texts masked."""
+    """All documents, with the secrets in their texts masked and n_chars counted anew where that changed; null texts stay null."""
     return secrets.redact(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in as many copies as the mix takes; those without words stay as they are."""
-    mixed = mixing.mix(docs, keep=tuple(docs.columns))
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int")
-    return mixed.withColumn("__k", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
+    """Documents in as many copies as the mix takes; those without words stay as they are, as do other columns."""
+    return mixing.repeat(docs)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of what they decode to, a row a copy.
+    """doc_id, n_tokens and digests of the ids and of what they decode to, a row a copy; null texts have no ids.
 
     By the last stage the executors' heaps have grown, so that the tables of the workers are kept small.
     """
     files = _tokenizers()
-    return bpe.encode_documents(docs, files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN, max_states=80_000, max_chunks=300_000)
+    return bpe.encode_documents(docs, files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN, max_chunks=200_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
