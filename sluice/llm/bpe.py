@@ -296,14 +296,16 @@ def chunks(text: str) -> list[str]:
     return _RUN.findall(text)
 
 
-def by_spaces(text: str) -> list[str] | None:
-    """text split by single spaces, if each has no other white space before it; else None.
+def spaced(text: str) -> bool:
+    """Whether text may be cut by single spaces: none has other white space before it.
 
     The pattern takes a space only at the front of a match, or inside a run of white space.
     """
-    if any(c + " " in text for c in _BLANK) or not text.isascii() and any(c in text for c in _RARE):
-        return None
-    return text.split(" ")
+    return not (any(c + " " in text for c in _BLANK) or not text.isascii() and any(c in text for c in _RARE))
+
+
+def by_spaces(text: str) -> list[str] | None:
+    return text.split(" ") if spaced(text) else None
 
 
 class Tokenizer:

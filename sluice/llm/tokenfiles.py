@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Chunks, by_spaces, chunks
+from .bpe import Chunks, chunks, spaced
 from .common import held, parts_for, scratch, shared_dir
 
 #: Fixed values of the seekable format: magic numbers, and the flag for checksums.
@@ -115,49 +116,63 @@ class Library:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
         self.first = Chunks(self._ids, room)
-        self.after: dict[str, bytes] = {}  # ids of pieces with a space in front, in two generations
+        # ids of pieces with a space in front, in two generations
+        self.after: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        out: list[bytes | None] = []
-        waiting: list[tuple[int, list[str], list[bytes | None], list[int]]] = []
-        new: dict[str, bytes | None] = {}
-        known, old = self.after.get, self.old.get
-        for text in texts:
-            if not text or any(t in text for t in self.added):
-                out.append(self._ids(text) if text else b"")
+        """Packed ids of each text. Those that spaces alone can cut are cut, and their distinct pieces looked up, all at once."""
+        plain, out = [], [b""] * len(texts)
+        for k, text in enumerate(texts):
+            if not text:
                 continue
-            parts = by_spaces(text)
-            if parts is None:
-                out.append(b"".join(map(self.first.__getitem__, chunks(text))))
-                continue
-            found = list(map(known, parts))
-            found[0] = self.first[parts[0]]
-            if None in found:
-                gaps = [k for k, ids in enumerate(found) if ids is None]
-                waiting.append((len(out), parts, found, gaps))
-                for k in gaps:
-                    new[parts[k]] = None
-                out.append(None)
+            if any(t in text for t in self.added):
+                out[k] = self._ids(text)
+            elif spaced(text):
+                plain.append(k)
             else:
-                out.append(b"".join(found))
+                out[k] = b"".join(map(self.first.__getitem__, chunks(text)))
+        if not plain:
+            return out
+        parts = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        cuts = parts.offsets.to_numpy()
+        coded = parts.values.dictionary_encode()
+        codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # the first piece of a text has no space in front
+        heads = [distinct[c] for c in codes[cuts[:-1]].tolist()]
+        codes[cuts[:-1]] = len(distinct) + np.arange(len(heads))
+        found = self._look_up(distinct) + [self.first[x] for x in heads]
+        pool = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, lengths = (np.cumsum(lengths) - lengths)[codes], lengths[codes]
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts - (ends - lengths), lengths)
+        places += np.arange(len(places))
+        ids = pool[places].tobytes()
+        borders = [0, *(4 * ends[cuts[1:] - 1]).tolist()]
+        for k, a, b in zip(plain, borders, borders[1:]):
+            out[k] = ids[a:b]
+        return out
+
+    def _look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, each with a space in front."""
+        found = list(map(self.after.get, pieces))
+        gaps = [k for k, ids in enumerate(found) if ids is None]
         unknown = []
-        for piece in sorted(new):  # neighbours that begin alike are encoded faster
-            new[piece] = old(piece)
-            if new[piece] is None:
-                unknown.append(piece)
-        new.update(zip(unknown, self._pieces(unknown)))
-        for k, parts, found, gaps in waiting:
-            for i in gaps:
-                found[i] = new[parts[i]]
-            out[k] = b"".join(found)
-        self.after.update((piece, ids) for piece, ids in new.items() if len(piece) < 64)
+        for k in gaps:
+            found[k] = self.old.get(pieces[k])
+            if found[k] is None:
+                unknown.append(k)
+        unknown.sort(key=pieces.__getitem__)  # neighbours that begin alike are encoded faster
+        for k, ids in zip(unknown, self._pieces([pieces[k] for k in unknown])):
+            found[k] = ids
+        self.after.update((pieces[k], found[k]) for k in gaps if len(pieces[k]) < 64)
         if len(self.after) >= self.room:
             self.old, self.after = self.after, {}
-        return out
+        return found
 
     def _pieces(self, new: list[str]) -> list[bytes]:
         """Ids of each piece with a space in front. Many go to the library as one text; tokens that begin with the space part them."""
@@ -174,6 +189,17 @@ class Library:
         return out
 
 
+def _slices(batch: pa.RecordBatch, column: int, rows: int = 4096, n_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """batch in slices of so many rows and bytes of a text column at most, but a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        most = n_bytes + (ends[at - 1] if at else 0)
+        to = min(max(at + 1, int(np.searchsorted(ends, most, "right"))), at + rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Writes docs (doc_id, text) in ascending doc_id (nulls first, then by hash of the text) to files under folder; returns their list.
 
@@ -188,8 +214,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
         path = f"part-{part:06d}-{uuid.uuid4().hex}.tok.zst"
         out = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
+            for piece in _slices(batch, 1):
                 for i, ids in zip(piece.column(0).to_pylist(), lib.encode_batch(piece.column(1).to_pylist())):
                     if writer is None:
                         fs.create_dir(place, recursive=True)
