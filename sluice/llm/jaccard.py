@@ -37,6 +37,8 @@ EXTRA = 6
 FREQUENT, LEAST, HELD = 50_000, 12, 1 << 21
 #: Shingles in a block of indexed sets, and in a share of the sets searched for in one block, about.
 BLOCK, ASKED = 1 << 17, 1 << 20
+#: Nodes that a task knows it has sent.
+SEEN = 1_000_000
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -214,18 +216,27 @@ def node(s: np.ndarray, seed: int = 0) -> int:
     return int(np.array(xxhash.xxh64_intdigest(s.tobytes(), seed=seed), np.uint64).view(np.int64)) if len(s) else 0
 
 
-def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _groups(rows: DataFrame, nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
     """g, node, n, pivot, w: nodes that share prefix shingles; g stands for the w shingles that just these nodes share, and
-    the pivot is the least node.
+    the pivot is the least node. rows: node and prefix, a row a text; nodes: node and n.
 
     Entries of rare shingles travel as packed blocks; those of frequent ones, of which there may be very many, as rows that
-    aggregate on the way. Nodes that share too few shingles in all are left out.
+    aggregate on the way. A task sends each node once, and what several tasks sent counts once. Nodes that share too few
+    shingles in all are left out.
     """
-    spark = nodes.sparkSession
+    spark = rows.sparkSession
     n_buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
     shared = spark.sparkContext.broadcast(frequent)
 
-    def entries(batch: pa.RecordBatch, often: bool) -> tuple[np.ndarray, np.ndarray]:
+    def entries(batch: pa.RecordBatch, often: bool, seen: set[int]) -> tuple[np.ndarray, np.ndarray]:
+        new = []
+        for k, i in enumerate(batch.column(0).to_pylist()):
+            if i not in seen:
+                new.append(k)
+                seen.add(i)
+        if len(seen) > SEEN:
+            seen.clear()
+        batch = batch.take(pa.array(new, pa.int64()))
         keys, lists = shared.value, batch.column(1)
         h = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         owner = np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
@@ -233,8 +244,9 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
         return h[known == often], owner[known == often]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            h, owner = entries(batch, False)
+            h, owner = entries(batch, False, seen)
             bucket = (h % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -246,6 +258,8 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
         owner = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("node").to_pylist()])
         order = np.lexsort((owner, h))
         h, owner = h[order], owner[order]
+        once = np.concatenate([[True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])])
+        h, owner = h[once], owner[once]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         ends = np.append(starts[1:], len(h))
         counted: dict[bytes, int] = {}
@@ -260,14 +274,15 @@ def _groups(nodes: DataFrame, frequent: np.ndarray) -> DataFrame:
         return pa.table({name: pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for name, c in zip(("g", "node", "pivot", "w"), out)})
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            h, owner = entries(batch, True)
+            h, owner = entries(batch, True, seen)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(owner)], names=["g", "node"])
 
-    slim = nodes.select("node", "prefix")
+    slim = rows.where("n > 0").select("node", "prefix")
     rare = slim.mapInArrow(deal, "b long, h binary, node binary").groupBy("b").applyInArrow(gather, "g long, node long, pivot long, w long")
     rare = rare.groupBy("g", "node", "pivot").agg(F.sum("w").alias("w"))
-    often = scratch(slim.mapInArrow(unpack, "g long, node long"), "frequent")
+    often = scratch(slim.mapInArrow(unpack, "g long, node long").distinct(), "frequent")
     pivots = often.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
     every = rare.select("g", "node", "w").unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", F.lit(1).cast("long").alias("w")))
     every = scratch(every.join(small(nodes.select(F.col("node").alias("__n"), "n")), F.col("node") == F.col("__n")).drop("__n"), "groups")
@@ -382,6 +397,7 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
     shares = small(scratch(shares, "shares"))
     left = asks.join(shares, F.col("block") == F.col("__b")).select(F.col("node").alias("node_a"), F.col("block").alias("block_a"), F.pmod(F.xxhash64("node"), F.col("shares")).alias("share_a"))
     right = placed.join(shares, F.col("block") == F.col("__b")).select(F.col("node").alias("node_b"), F.col("block").alias("block_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share_b"))
+    sets = sets.join(small(members.select("node")), "node", "left_semi")
     left = left.join(sets.select(F.col("node").alias("__n"), F.col("s").alias("s_a")), F.col("node_a") == F.col("__n")).drop("__n")
     right = right.join(sets.select(F.col("node").alias("__n"), F.col("s").alias("s_b")), F.col("node_b") == F.col("__n")).drop("__n")
     return left.groupBy("block_a", "share_a").cogroup(right.groupBy("block_b", "share_b")).applyInArrow(_search, "a long, b long")
@@ -412,12 +428,12 @@ def _rooted(docs: DataFrame) -> DataFrame:
     frequent, rank = _frequent(narrow.select("text"))
     for seed in range(64):
         rows = scratch(_sets(narrow, frequent, rank, seed), "sets")
-        told = rows.where("n > 0").groupBy("node").agg(F.first("prefix").alias("prefix"), F.first("n").alias("n"), (F.max("n") - F.min("n")).alias("sizes"), (F.max("proof") != F.min("proof")).alias("mixed"))
+        told = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), (F.max("n") - F.min("n")).alias("sizes"), (F.max("proof") != F.min("proof")).alias("mixed"))
         nodes = scratch(told, "nodes")
         if nodes.where("mixed OR sizes > 0").isEmpty():  # else two sets have one hash: with another seed they haven't
             break
-    nodes = nodes.select("node", "prefix", "n")
-    groups = _groups(nodes, frequent)
+    nodes = nodes.select("node", "n")
+    groups = _groups(rows, nodes, frequent)
     totals = groups.groupBy("node").agg(F.sum("w").alias("total"), F.first("n").alias("n"))
     sides = [totals.select(F.col("node").alias(c), F.col("total").alias(f"total_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab"]
     pairs = groups.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.sum("w").alias("w")).join(sides[0], "a").join(sides[1], "b")
