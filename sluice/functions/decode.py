@@ -48,8 +48,10 @@ def id_diff(log: DataFrame, by: tuple[str, ...] = (), sync_id: str = "sync_id")
     return log.withColumn("__before", before).withColumn("id_diff", out).drop("__before")
 
 
-def op_label(db: Column, coll: Column, op: Column, diff: Column) -> Column:
-    return F.when(op.isNull(), F.lit("empty op")).otherwise(F.concat(db, F.lit("."), coll, F.lit(":"), op, F.lit(" @ "), diff))
+def op_label(db: Column, coll: Column, op: Column, diff: Column, there: Column | None = None) -> Column:
+    """db.coll:op @ diff; `empty op` without a kind, `nil` where there is no event at all."""
+    out = F.when(~there, F.lit("nil")) if there is not None else F
+    return out.when(op.isNull(), F.lit("empty op")).otherwise(F.concat(db, F.lit("."), coll, F.lit(":"), op, F.lit(" @ "), diff))
 
 
 def batch_label(diff: Column, coll: Column) -> Column:
@@ -68,3 +70,10 @@ def bookmark_table(*parts: Column) -> Column:
 
 #: Names of the classes of streams.
 STREAM_CLASSES = {0: "RT", 1: "ST", 2: "SyncId"}
+
+
+def stream_class(number: Column) -> Column:
+    out = F
+    for k, name in STREAM_CLASSES.items():
+        out = out.when(number == k, F.lit(name))
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import secrets
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,3 +60,12 @@ def to_millis(ts: Column) -> Column:
 def greatest_of(xs: Column) -> Column:
     """The greatest of an array of numbers; 0 for an empty one."""
     return F.coalesce(F.array_max(xs), F.lit(0))
+
+
+def keys(m: Column) -> Column:
+    """Keys of a map, in order."""
+    return F.array_sort(F.map_keys(m))
+
+
+def map_list(xs: Column, f: Callable[[Column], Column]) -> Column:
+    return F.transform(xs, f)

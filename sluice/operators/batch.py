@@ -73,6 +73,16 @@ def clone_batches(rows: DataFrame, coll: str, key: str, size: str, bound: int) -
     return _sequence(rows.select(coll, key, size), (coll,), key, size, bound, before=True).select(coll, key, size, (F.col("seq") + 1).alias("batch"))
 
 
-def registered(batches: DataFrame) -> DataFrame:
-    """coll, sync_id: the first event of each batch that holds more than one or isn't closed by its first; these are pending until flushed."""
-    return batches.groupBy("coll", "batch").agg(F.min("sync_id").alias("sync_id"))
+def registered(batches: DataFrame, events: DataFrame, bound: int) -> DataFrame:
+    """coll, batch, sync_id: the first event of each batch that is pending from then until it is flushed.
+
+    A drop isn't, nor is a batch that its first event fills: these are flushed at once. A batch that a drop discards was
+    pending until the drop. batches: see event_batches; events: coll, sync_id, n_bytes.
+    """
+    first = batches.where(F.col("op_class") != DROP).groupBy("coll", "batch").agg(F.min("sync_id").alias("sync_id"))
+    return first.join(events.select("coll", "sync_id", "n_bytes"), ["coll", "sync_id"]).where(F.coalesce("n_bytes", F.lit(0)) < bound).select("coll", "batch", "sync_id")
+
+
+def unknown_ops(events: DataFrame) -> DataFrame:
+    """coll, op, n: events of kinds that batches leave out."""
+    return events.where(op_class(F.col("op")) == UNKNOWN).groupBy("coll", "op").agg(F.count(F.lit(1)).alias("n"))

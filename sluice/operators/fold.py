@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sides import bounded
+
 
 def fold(events: DataFrame, base: DataFrame | None = None, keys: tuple[str, ...] = ("coll", "doc_key")) -> DataFrame:
     """keys and doc: what base (keys, doc) is after the events (keys, sync_id, op, doc) in the order of sync_id.
@@ -13,10 +15,12 @@ def fold(events: DataFrame, base: DataFrame | None = None, keys: tuple[str, ...]
     image they delete it); deletes remove it; an insert counts only where there is none. (keys, sync_id) must be unique.
 
     Per key the last change other than an insert decides, and else base or the first insert after it. Both are aggregations
-    that combine before they shuffle, so that a key with very many events is no single task; drops are one row a collection.
+    that combine before they shuffle, so that a key with very many events is no single task. Drops are one row a collection
+    and are broadcast while these are few, so that events are never shuffled by collection.
     """
     coll = keys[0]
     drops = events.where(F.col("op") == "drop").groupBy(coll).agg(F.max("sync_id").alias("dropped"))
+    drops = bounded(drops)
     alive = events.where(F.col("op").isin("insert", "update", "replace", "delete")).join(drops, coll, "left").where(F.col("dropped").isNull() | (F.col("sync_id") > F.col("dropped")))
     hard = alive.where(F.col("op") != "insert").groupBy(*keys).agg(F.max(F.struct("sync_id", "op", "doc")).alias("h"))
     hard = hard.select(*keys, F.col("h.sync_id").alias("hard_id"), ((F.col("h.op") != "delete") & F.col("h.doc").isNotNull()).alias("sets"), F.col("h.doc").alias("hard_doc"))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sides import bounded
+
+#: Length of the stretches of seq by which open entries meet flushes.
+STRETCH = 256
+
 
 def start_positions(bookmarks: DataFrame) -> DataFrame:
     """coll, start_id, max_id. Each bookmarked collection starts at its entry in the pending map of the latest bookmark, or at that bookmark.
@@ -25,14 +30,14 @@ def gate(events: DataFrame, starts: DataFrame, after: str | None = None) -> Data
     """events strictly after `after` (by default the least start) that weren't applied before.
 
     From the greatest bookmark on all events stay; before it only those of bookmarked collections from their start. Events at
-    a bookmark stay: applying them again changes nothing. Without bookmarks all events stay. A collection has one start, so
-    that the broadcast side is as long as the list of collections.
+    a bookmark stay: applying them again changes nothing. Without bookmarks all events stay. Starts are one a collection and
+    are broadcast, unless they are found to be many.
     """
     bounds = starts.agg(F.min("start_id"), F.max("max_id")).first()
     low, top = after or bounds[0], bounds[1]
     if top is None:
         return events.where(F.col("sync_id") > after) if after else events
-    own = starts.select(F.col("coll").alias("__coll"), F.col("start_id").alias("__start"))
+    own = bounded(starts.select(F.col("coll").alias("__coll"), F.col("start_id").alias("__start")))
     late = events.where(F.col("sync_id") > low)
     kept = late.join(own, late["coll"] == own["__coll"], "left").where((F.col("sync_id") >= top) | (F.col("sync_id") >= F.col("__start")))
     return kept.drop("__coll", "__start")
@@ -56,12 +61,20 @@ def pending_at_flush(added: DataFrame, flushes: DataFrame) -> DataFrame:
     """flush_seq, coll, sync_id: at each flush the oldest unflushed id of each other collection.
 
     added: seq, coll, sync_id (registered batches); flushes: seq, coll, sync_id. An entry is flushed by an earlier flush of
-    its collection that reaches its id; only entries up to the flush's own id count.
+    its collection that reaches its id; only entries up to the flush's own id count. An entry is open for a span of seq, and
+    meets the flushes of the stretches of seq that its span covers, so that no flush is held against all entries.
     """
-    f, a, done = flushes.alias("f"), added.alias("a"), flushes.alias("d")
-    open_then = f.join(a, (F.col("a.seq") < F.col("f.seq")) & (F.col("a.coll") != F.col("f.coll")) & (F.col("a.sync_id") <= F.col("f.sync_id")))
-    flushed = (F.col("d.coll") == F.col("a.coll")) & (F.col("d.sync_id") >= F.col("a.sync_id")) & (F.col("d.seq") > F.col("a.seq")) & (F.col("d.seq") < F.col("f.seq"))
-    return open_then.join(done, flushed, "left_anti").groupBy(F.col("f.seq").alias("flush_seq"), F.col("a.coll").alias("coll")).agg(F.min("a.sync_id").alias("sync_id"))
+    span = F.lit(STRETCH)
+    top = flushes.agg(F.max("seq")).first()[0]
+    if top is None:
+        top = -1
+    done = flushes.select(F.col("coll").alias("__c"), F.col("seq").alias("__s"), F.col("sync_id").alias("__i"))
+    closes = (F.col("coll") == F.col("__c")) & (F.col("__i") >= F.col("sync_id")) & (F.col("__s") > F.col("seq"))
+    open_ = added.join(done, closes, "left").groupBy("seq", "coll", "sync_id").agg(F.coalesce(F.min("__s"), F.lit(top)).alias("until")).where(F.col("until") > F.col("seq"))
+    a = open_.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("seq") / span), F.floor(F.col("until") / span)))).alias("a")
+    f = flushes.withColumn("stretch", F.floor(F.col("seq") / span)).alias("f")
+    meets = (F.col("a.stretch") == F.col("f.stretch")) & (F.col("f.seq") > F.col("a.seq")) & (F.col("f.seq") <= F.col("a.until")) & (F.col("a.coll") != F.col("f.coll")) & (F.col("a.sync_id") <= F.col("f.sync_id"))
+    return f.join(a, meets).groupBy(F.col("f.seq").alias("flush_seq"), F.col("a.coll").alias("coll")).agg(F.min("a.sync_id").alias("sync_id"))
 
 
 def is_clean(added: DataFrame, flushes: DataFrame) -> bool:

@@ -8,6 +8,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .sides import bounded
+
 log = logging.getLogger(__name__)
 RULE = "ord int, class string, include string, exclude array<string>, delay long, batch long, expires long"
 #: What Java and RE2 read differently, or one of them not at all.
@@ -50,8 +52,11 @@ def route(names: DataFrame, rules: DataFrame, name: str = "coll") -> DataFrame:
 
 
 def route_events(events: DataFrame, rules: DataFrame, kind: str) -> DataFrame:
-    """events whose collection is of the class `kind`, with its rule's settings; events without a collection go."""
-    routed = route(events, rules).where(F.col("class") == kind)
+    """events whose collection is of the class `kind`, with its rule's settings; events without a collection go.
+
+    Collections are few and are broadcast, unless they are found to be many.
+    """
+    routed = bounded(route(events, rules).where(F.col("class") == kind))
     return events.join(routed, "coll")
 
 

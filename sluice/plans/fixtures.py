@@ -25,6 +25,11 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(F.concat(F.lit("coll_"), (F.col("s_suppkey") % 8).cast("string")).alias("coll"), F.col("s_suppkey").cast("int").alias("doc_key"), F.col("s_acctbal").alias("doc"))
 
 
+def sender_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sender of a synchronisation holds."""
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("coll_"), (F.col("c_custkey") % 8).cast("string")).alias("coll"), F.col("c_custkey").cast("int").alias("doc_key"), F.col("c_acctbal").alias("doc"))
+
+
 def order_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(sender, receiver) copies of orders that differ."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", "o_totalprice", "o_orderpriority")

@@ -11,7 +11,11 @@ from ..schema import CHANGE_EVENT
 
 def read_log(spark: SparkSession, path: str, after: str | None = None, db: str | None = None) -> DataFrame:
     """Events strictly after a sync id, of one database if given; both reach the Parquet scan."""
-    log = spark.read.parquet(path)
+    return since(spark.read.parquet(path), after, db)
+
+
+def since(log: DataFrame, after: str | None = None, db: str | None = None) -> DataFrame:
+    """Events strictly after a sync id, of one database if given."""
     if after:
         log = log.where(F.col("sync_id") > after)
     return log.where(F.col("db") == db) if db else log
@@ -24,8 +28,7 @@ def stream_log(spark: SparkSession, path: str, after: str | None = None, schema:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
-    log = reader.parquet(path)
-    return log.where(F.col("sync_id") > after) if after else log
+    return since(reader.parquet(path), after)
 
 
 def latest_id(log: DataFrame) -> str | None:
