@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,11 +34,32 @@ def held(key: Any, make: Callable[[], Any]) -> Any:
     """
     if key not in _held:
         _held.clear()
-        gc.collect()
+        give_back()
         _held[key] = make()
     return _held[key]
 
 
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system, where its C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 4096, n_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """batch in slices of so many rows and bytes of a text column at most, but a row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        most = n_bytes + (ends[at - 1] if at else 0)
+        to = min(max(at + 1, int(np.searchsorted(ends, most, "right"))), at + rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

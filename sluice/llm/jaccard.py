@@ -45,7 +45,7 @@ _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         out = xxhash.xxh64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < 250_000:
             self[word] = out
         return out
 

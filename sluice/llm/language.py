@@ -115,8 +115,8 @@ def learn(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sums = Encoder(), {}
         for batch in batches:
-            for i, text, lang in zip(*(c.to_pylist() for c in batch.columns)):
-                if lang is not None and text and not held_out(i):
+            for i, text, lang in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                if lang is not None and not held_out(i) and (text := text.as_py()):
                     ids, n = ngrams(text)
                     if len(ids):
                         sums[lang] = sums.get(lang, 0) + encoder.bundle(ids, n)
@@ -164,8 +164,8 @@ def _judge(x: DataFrame, rows: list) -> DataFrame:
         encoder = Encoder()
         for batch in batches:
             names, scores = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids, n = ngrams(text or "")
+            for i, text in enumerate(batch.column(1)):
+                ids, n = ngrams(text.as_py() or "")
                 if not len(ids) or not langs:
                     continue
                 v = encoder.bundle(ids, n)

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import held, slices
+
 #: Known token formats, by the shapes that their issuers publish: how they begin, and what follows.
 SHAPES = (
     ("(?:AKIA|ASIA)", r"[0-9A-Z]{16}\b"), ("gh[pousr]_", r"[A-Za-z0-9]{36}\b"), ("github_pat_", r"[A-Za-z0-9_]{22,}"), ("glpat-", r"[A-Za-z0-9_\-]{20,}"), ("sk-", r"[A-Za-z0-9_\-]{20,}"),
@@ -35,6 +38,8 @@ FEATURES = ("length", "entropy", "digit_share", "upper_share", "lower_share", "s
 _UUID = re.compile(r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
 #: The most labelled findings that training reads.
 MAX_FINDINGS = 6000
+#: Bytes of text that are searched at once, or one text.
+SLICE = 2 << 20
 #: Of each ASCII character its kind: digit, lower, upper, other; whether it is a vowel; whether it is a hexadecimal digit.
 _KIND = np.array([0 if chr(c).isdigit() else 1 if chr(c).islower() else 2 if chr(c).isupper() else 3 for c in range(128)])
 _VOWEL = np.array([chr(c) in "aeiouyAEIOUY" for c in range(128)])
@@ -212,13 +217,14 @@ def secret_scan(docs: DataFrame, model: Model | None = None, cut: float = 0.5, k
     Null and empty texts have no candidates (score 0.0, spans ''); null keys stay; repeated rows are scanned one by one; other
     columns are ignored, whatever their names; an empty table gives none.
     """
-    model = model or train()
+    model, name = model or train(), ("secrets", uuid.uuid4().hex)
     narrow = docs.select(key, "text")
     schema = narrow.select(key).schema.add("n_candidates", "long").add("n_secrets", "long").add("spans", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, n = find(batch.column(1).to_pylist(), model, cut)
+        known = held(name, lambda: model)
+        for batch in (part for whole in batches for part in slices(whole, 1, n_bytes=SLICE)):
+            found, n = find(batch.column(1).to_pylist(), known, cut)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array([",".join(f"{s}-{e}" for s, e, _ in x) for x in found], pa.string()), pa.array([max((p for _, _, p in x), default=0.0) for x in found], pa.float64())], names=schema.names)
 
     return narrow.mapInArrow(run, schema)
@@ -229,14 +235,15 @@ def redact(docs: DataFrame, model: Model | None = None, cut: float = 0.5, mask:
 
     Null and empty texts and all other columns, whatever their names, stay as they are.
     """
-    model = model or train()
+    model, name = model or train(), ("secrets", uuid.uuid4().hex)
     names = docs.columns
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        known = held(name, lambda: model)
+        for batch in (part for whole in batches for part in slices(whole, at, n_bytes=SLICE)):
             texts = batch.column(at).to_pylist()
-            found, _ = find(texts, model, cut)
+            found, _ = find(texts, known, cut)
             columns, sizes = list(batch.columns), batch.column(chars).to_pylist() if chars is not None else None
             for i, spans in enumerate(found):
                 if spans:

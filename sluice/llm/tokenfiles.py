@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import Chunks, chunks, spaced
-from .common import held, parts_for, scratch, shared_dir
+from .common import held, parts_for, scratch, shared_dir, slices
 
 #: Fixed values of the seekable format: magic numbers, and the flag for checksums.
 _SKIP_TABLE, _SKIP_IDS, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
@@ -189,17 +189,6 @@ class Library:
         return out
 
 
-def _slices(batch: pa.RecordBatch, column: int, rows: int = 4096, n_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """batch in slices of so many rows and bytes of a text column at most, but a row at least."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < batch.num_rows:
-        most = n_bytes + (ends[at - 1] if at else 0)
-        to = min(max(at + 1, int(np.searchsorted(ends, most, "right"))), at + rows)
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Writes docs (doc_id, text) in ascending doc_id (nulls first, then by hash of the text) to files under folder; returns their list.
 
@@ -214,7 +203,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
         path = f"part-{part:06d}-{uuid.uuid4().hex}.tok.zst"
         out = None
         for batch in batches:
-            for piece in _slices(batch, 1):
+            for piece in slices(batch, 1):
                 for i, ids in zip(piece.column(0).to_pylist(), lib.encode_batch(piece.column(1).to_pylist())):
                     if writer is None:
                         fs.create_dir(place, recursive=True)
