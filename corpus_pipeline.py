@@ -38,7 +38,7 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     By the last stage the executors' heaps have grown, so that the tables of the workers are kept small.
     """
     files = _tokenizers()
-    return bpe.encode_documents(docs, files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN, max_chunks=200_000)
+    return bpe.encode_documents(docs, files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN, max_chunks=100_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
