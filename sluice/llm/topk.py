@@ -26,6 +26,8 @@ SEGMENTS = 4
 DEPTH = 16
 #: Rows in a block of candidates and of queries; blocks of candidates that a task goes through.
 ROWS, QUERIES, BLOCKS = 4096, 512, 4
+#: Pairs that are resolved at once.
+PAIRS = 1 << 15
 _LONG = (-(1 << 63), (1 << 63) - 1)
 
 
@@ -65,15 +67,39 @@ def partial(q: Block, r: Block) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return scores, slack
 
 
-def exact(q: np.ndarray, r: np.ndarray) -> list[int]:
-    """Inner products of the rows of q and r, whole numbers: in 64 bits where no sum can leave them, else in Python's."""
-    most = float(np.abs(q).max(initial=0.0)) * float(np.abs(r).max(initial=0.0)) * max(q.shape[1], 1)
-    if most < 2.0**62:
-        return np.einsum("ij,ij->i", q.astype(np.int64), r.astype(np.int64)).tolist()
-    return [sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(q.tolist(), r.tolist())]
-
-
-def first_phase(q: Block, r: Block, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+def exact(q: Block, r: Block, at: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs of rows `at` of q and `row` of r, whole numbers: as doubles where all sums are exact in
+    them, in 64 bits where no sum can leave them, else as Python's."""
+    with np.errstate(over="ignore"):
+        most = float(np.abs(q.data).max(initial=0.0)) * float(np.abs(r.data).max(initial=0.0)) * max(q.data.shape[1], 1)
+    kind = np.float64 if most < 2.0**53 else np.int64 if most < 2.0**62 else object
+    if kind is object:
+        a, b = ([[int(x) for x in v] for v in m.data.tolist()] for m in (q, r))
+        return np.array([sum(x * y for x, y in zip(a[i], b[j])) for i, j in zip(at.tolist(), row.tolist())] + [0], object)[:-1]
+    a, b = q.data.astype(kind), r.data.astype(kind)
+    parts = [np.einsum("ij,ij->i", a[at[k : k + PAIRS]], b[row[k : k + PAIRS]]) for k in range(0, len(at), PAIRS)]
+    return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+
+
+def best(at: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int, bounds: list[int | None] | None = None) -> np.ndarray:
+    """Places of each query's k best scores, ties to smaller ids, that reach its bound if it has one."""
+    keep = np.arange(len(at))
+    if bounds is not None:
+        if scores.dtype == object:
+            keep = np.array([i for i in keep.tolist() if bounds[at[i]] is None or scores[i] >= bounds[at[i]]], np.int64)
+        else:
+            limits = np.array([_LONG[0] if b is None else min(max(b, _LONG[0]), _LONG[1]) for b in bounds], np.int64)
+            keep = keep[scores >= limits[at]]
+    if scores.dtype == object:
+        keep = np.array(sorted(keep.tolist(), key=lambda i: (at[i], -scores[i], ids[i])), np.int64)
+    else:
+        keep = keep[np.lexsort((ids[keep], -scores[keep], at[keep]))]
+    own = at[keep]
+    place = np.arange(len(keep)) - np.searchsorted(own, own)  # within its query
+    return keep[place < k]
+
+
+def first_phase(q: Block, r: Block, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(queries, rows, scores) of the best entries of each list. own: whether a row is the query itself."""
     scores, _ = partial(q, r)
     some = min(DEPTH * k + 1, own.shape[1])
@@ -81,10 +107,10 @@ def first_phase(q: Block, r: Block, own: np.ndarray, k: int) -> tuple[np.ndarray
     for s in scores:
         np.put_along_axis(picked, np.argpartition(-s, some - 1, axis=1)[:, :some], True, axis=1)
     at, row = np.nonzero(picked & ~own)
-    return at, row, exact(q.data[at], r.data[row])
+    return at, row, exact(q, r, at, row)
 
 
-def last_phases(q: Block, r: Block, own: np.ndarray, bounds: list[int | None]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+def last_phases(q: Block, r: Block, own: np.ndarray, bounds: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(queries, rows, scores) of the rows of which some list has an entry that reaches its query's cutoff; None: all rows."""
     scores, slack = partial(q, r)
     sent = np.zeros(own.shape, bool)
@@ -93,7 +119,7 @@ def last_phases(q: Block, r: Block, own: np.ndarray, bounds: list[int | None]) -
         with np.errstate(invalid="ignore"):
             sent |= ~(s < (cutoff - w)[:, None])  # what isn't a number counts as sent
     at, row = np.nonzero(sent & ~own)
-    return at, row, exact(q.data[at], r.data[row])
+    return at, row, exact(q, r, at, row)
 
 
 def _below(x: int) -> float:
@@ -137,23 +163,16 @@ def _pairs(queries: DataFrame, rows: DataFrame, shards: int, k: int, last: bool)
                 x = {name: batch.column(i)[k_row].as_py() for i, name in enumerate(batch.schema.names)}
                 ids, qids, uids, quids = (np.frombuffer(x[c], np.int64) for c in ("ids", "q_ids", "uids", "q_uids"))
                 q, r = (Block(np.frombuffer(x[c]).reshape(n, x["width"])) for c, n in (("q_data", len(qids)), ("data", len(ids))))
-                own = quids[:, None] == uids[None, :]
+                own, bounds = quids[:, None] == uids[None, :], None
                 if last:
                     bounds = [None if b is None else from_key(b) for b in x["q_bounds"]]
                     at, row, scores = last_phases(q, r, own, bounds)
                 else:
                     at, row, scores = first_phase(q, r, own, k)
-                keep, seen = [], 0
-                order = sorted(range(len(scores)), key=lambda i: (at[i], -scores[i], ids[row[i]]))
-                before = -1
-                for i in order:  # the k best of each query in this block
-                    seen = seen + 1 if at[i] == before else 1
-                    before = at[i]
-                    if seen <= k and (not last or bounds[at[i]] is None or scores[i] >= bounds[at[i]]):
-                        keep.append(i)
-                if keep:
+                keep = best(at, scores, ids[row], k, bounds)
+                if len(keep):
                     a, b = at[keep], row[keep]
-                    yield pa.RecordBatch.from_arrays([pa.array(quids[a]), pa.array(qids[a]), pa.array(uids[b]), pa.array(ids[b]), pa.array([order_key(scores[i]) for i in keep], pa.binary())], schema=_FOUND)
+                    yield pa.RecordBatch.from_arrays([pa.array(quids[a]), pa.array(qids[a]), pa.array(uids[b]), pa.array(ids[b]), pa.array([order_key(int(s)) for s in scores[keep]], pa.binary())], schema=_FOUND)
 
     return joined.mapInArrow(run, "quid long, qid long, uid long, id long, key binary")
 
