@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import argparse
 import logging
+import signal
 import sys
+import threading
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .operators import clone, compare, route
-from .schema import CHANGE_EVENT
+from .operators import clone, compare
 from .sources import config, log as logs
-from .sources.receiver import Receiver
 from .streaming import runner
 
 
@@ -21,13 +21,16 @@ def set_logging(level: str = "INFO", file: str | None = None) -> None:
 
 
 def sync(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Addresses are folders: the sender holds log files, the receiver its versions."""
-    exchange = config.read_config(args.config)[args.exchange]
-    rules = route.compile_rules(spark, exchange.realtime, exchange.stored)
-    receiver = Receiver(spark, f"{exchange.receiver_uri}/{exchange.receiver_db}", "coll string, doc_key int, doc double")
-    delays = [r.delay for r in (*exchange.realtime.values(), *exchange.stored.values())]
-    stream = logs.stream_log(spark, f"{exchange.sender_uri}/{exchange.sender_db}", schema=CHANGE_EVENT)
-    runner.follow(stream, receiver, rules, f"{exchange.receiver_uri}/{exchange.receiver_db}/checkpoint", None if args.once else min(delays, default=config.ST_DELAY), co_write=exchange.co_write).awaitTermination()
+    """Addresses are folders: the sender holds log files, the receiver its versions, a folder a class."""
+    if args.once:
+        exchange = config.read_config(args.config)[args.exchange]
+        for kind in runner.KINDS:
+            runner.follow_class(spark, exchange, kind, once=True).awaitTermination()
+        return
+    stop = threading.Event()
+    for number in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(number, lambda *_: stop.set())
+    runner.serve(spark, args.config, args.exchange, stop)
 
 
 def compare_tables(spark: SparkSession, args: argparse.Namespace) -> None:

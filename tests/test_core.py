@@ -1,17 +1,21 @@
 """Golden cases and equivalences of the change-log engine."""
 
+import datetime
+import json
 import random
 import subprocess
 import sys
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.functions import decode
-from sluice.operators import clone, fold, gate, route
+from sluice.functions import decode, scalar
+from sluice.operators import clone, fold, gate, metrics, route
 from sluice.plans.fixtures import base_rows, change_log
 from sluice.queries import CHANGES
-from sluice.sources import config
+from sluice.sources import config, log as logs
 from sluice.sources.config import DataSync
 from sluice.sources.receiver import Receiver
 from sluice.streaming import runner
@@ -93,3 +97,96 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
 def test_without_corpus_operators():
     code = "import sys; sys.modules['sluice.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; assert e.queries() and not any(q.startswith('op1_') for q in e.queries()); assert set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def _log(spark, rows, path):
+    schema = "sync_id string, db string, coll string, op string, doc_key int, doc double, cluster_ts timestamp, n_bytes int"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_sync_service(spark, tmp_path):
+    """The service follows both classes from a file, takes changes of the file, and restarts queries that end."""
+    now = datetime.datetime.now()
+    old = now - datetime.timedelta(hours=1)
+    sender, receiver, path = f"{tmp_path}/s", f"{tmp_path}/r", tmp_path / "config.json"
+    rows = [("000001", "m", "live_a", "insert", 1, 1.0, now, 9), ("000002", "m", "live_a", "update", 2, 2.0, old, 9), ("000003", "m", "kept", "insert", 1, 3.0, old, 9), ("000004", "m", "kept", "delete", 1, None, old, 9), ("000005", "m", "kept", "replace", 2, 5.0, old, 9), ("000006", "m", "other", "insert", 1, 6.0, old, 9)]
+    _log(spark, rows, f"{sender}/d")
+    rule = lambda **x: {"min_delay": 50, "delay": 60, **x}
+    settings = lambda stored: json.dumps({"exchanges": [{"sender_uri": sender, "sender_db": "d", "receiver_uri": receiver, "receiver_db": "d", "realtime": {"^live": rule(expires=600_000)}, "stored": {stored: rule()}}]})
+    path.write_text(settings("^kept"))
+    stop = threading.Event()
+    service = threading.Thread(target=runner.serve, args=(spark, str(path), 0, stop), daemon=True)
+    service.start()
+    held = lambda kind: {(x["coll"], x["doc_key"]): x["doc"] for x in Receiver(spark, f"{receiver}/d/{kind}", "coll string, doc_key int, doc double").read().collect()}
+
+    def until(kind, want):
+        for _ in range(150):
+            try:
+                if held(kind) == want:
+                    return True
+            except Exception:  # a version that was just replaced
+                pass
+            time.sleep(0.2)
+        return False
+
+    try:
+        assert until("rt", {("live_a", 1): 1.0}) and until("st", {("kept", 2): 5.0})
+        assert Receiver(spark, f"{receiver}/d/st", "coll string").bookmarks == {"kept": "000005"}
+        _log(spark, [("000007", "m", "kept", "update", 3, 7.0, old, 9)], f"{sender}/d")
+        assert until("st", {("kept", 2): 5.0, ("kept", 3): 7.0})
+        for q in spark.streams.active:  # a query that ends is started anew
+            q.stop()
+        path.write_text(settings("^(kept|more)"))
+        _log(spark, [("000008", "m", "more", "insert", 1, 8.0, old, 9)], f"{sender}/d")
+        assert until("st", {("kept", 2): 5.0, ("kept", 3): 7.0, ("more", 1): 8.0})
+    finally:
+        stop.set()
+        service.join(60)
+    assert not spark.streams.active
+
+
+def test_receiver_buckets(spark, tmp_path):
+    """A commit rewrites the buckets that it touches; a batch is applied once; a drop reaches all."""
+    schema = "coll string, doc_key int, doc double"
+    receiver = Receiver(spark, f"{tmp_path}/r", schema, buckets=8)
+    rules = route.compile_rules(spark, {}, {".*": DataSync()})
+    events = lambda *rows: spark.createDataFrame([(f"{s:06d}", c, op, k, v, None) for s, c, op, k, v in rows], "sync_id string, coll string, op string, doc_key int, doc double, cluster_ts timestamp")
+    assert runner.apply_batch(events(*((k, f"c{k % 3}", "insert", k, float(k)) for k in range(40))), 0, receiver, rules)
+    before = receiver._pointer()["buckets"]
+    assert runner.apply_batch(events((50, "c1", "update", 1, -1.0)), 1, receiver, rules)
+    after = receiver._pointer()["buckets"]
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert not runner.apply_batch(events((51, "c1", "update", 1, -2.0)), 1, receiver, rules)
+    assert runner.apply_batch(events((49, "c1", "update", 1, -3.0)), 2, receiver, rules)  # late: skipped
+    want = {(f"c{k % 3}", k): float(k) for k in range(40)} | {("c1", 1): -1.0}
+    read = lambda: {(x["coll"], x["doc_key"]): x["doc"] for x in receiver.read().collect()}
+    assert read() == want
+    assert runner.apply_batch(events((60, "c2", "drop", None, None), (61, "c2", "insert", 5, 5.0)), 3, receiver, rules)
+    assert read() == {k: v for k, v in want.items() if k[0] != "c2"} | {("c2", 5): 5.0}
+    assert receiver.bookmarks == {"c0": "000039", "c1": "000050", "c2": "000061"}
+    assert len(receiver._names("pointers")) <= 3
+    assert receiver.drop(9) and read() == {}
+
+
+def test_read_log(spark, tmp_path):
+    _log(spark, [(f"{k:06d}", "ab"[k % 2], "c", "insert", k, 0.0, None, 1) for k in range(10)], f"{tmp_path}/log")
+    assert [r["doc_key"] for r in logs.read_log(spark, f"{tmp_path}/log", "000004", "a").orderBy("sync_id").collect()] == [6, 8]
+    stream = logs.stream_log(spark, f"{tmp_path}/log", "000007")
+    query = stream.writeStream.format("memory").queryName("tailed").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("tailed").count() == 2 and runner.wait_idle(query)
+    assert len(scalar.random_hex(6)) == 12
+
+
+def test_throughput_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "STRETCH", 20)
+    r = random.Random(4)
+    rows = [(k, r.choice("ab"), r.randint(0, 50), r.choice([0, 0, 1000, 50_000])) for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, w string, n long, t long").repartition(5)
+    for by in ((), ("w",)):
+        want = {}
+        for k, w, _, _ in rows:
+            ring = [x for x in rows if x[0] <= k and (not by or x[1] == w)][-7:]
+            t = sum(x[3] for x in ring)
+            want[k] = sum(x[2] for x in ring) * 10**9 // t if t else 0
+        assert {x["k"]: x["speed"] for x in metrics.throughput(df, "k", "n", "t", by, last=7).collect()} == want
