@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sides import range_of
+
 #: Writes that the speed is taken over, and rows of one ring that a task goes through.
 LAST, STRETCH = 256, 1 << 16
 
@@ -14,8 +16,7 @@ def numbered(rows: DataFrame, order: str, by: tuple[str, ...] = ()) -> DataFrame
 
     Rows are cut into ranges, numbered within these, and what came before a range is carried over by one small table.
     """
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = rows.repartitionByRange(n, order).withColumn("__part", F.spark_partition_id())
+    cut = rows.withColumn("__part", range_of(rows, order))
     here = cut.withColumn("__own", F.row_number().over(Window.partitionBy("__part", *by).orderBy(order)) - 1)
     counts = cut.groupBy("__part", *by).agg(F.count(F.lit(1)).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

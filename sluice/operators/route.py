@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .sides import bounded
+from .sides import bounded, range_of
 
 log = logging.getLogger(__name__)
 RULE = "ord int, class string, include string, exclude array<string>, delay long, batch long, expires long"
@@ -66,9 +66,7 @@ def dispatch_runs(events: DataFrame) -> DataFrame:
     Where a run starts is told by the event before; the log is cut into ranges of sync_id for the running sums, and what the
     ranges begin with is carried over from one small table, so that no task sees the whole log.
     """
-    spark = events.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    narrow = events.select("sync_id", "coll").repartitionByRange(n, "sync_id").withColumn("part", F.spark_partition_id())
+    narrow = events.select("sync_id", "coll").withColumn("part", range_of(events, "sync_id"))
     within = Window.partitionBy("part").orderBy("sync_id")
     x = narrow.withColumn("new", (~F.coalesce(F.lag("coll").over(within).eqNullSafe(F.col("coll")), F.lit(False))).cast("long") * F.when(F.row_number().over(within) == 1, 0).otherwise(1))
     ends = x.groupBy("part").agg(F.min_by("coll", "sync_id").alias("a"), F.max_by("coll", "sync_id").alias("z"), F.sum("new").alias("n"))
