@@ -296,16 +296,19 @@ def chunks(text: str) -> list[str]:
     return _RUN.findall(text)
 
 
-def spaced(text: str) -> bool:
-    """Whether text may be cut by single spaces: none has other white space before it.
+def by_spaces(text: str) -> list[str] | None:
+    """text split by single spaces, if each has no other white space before it; else None.
 
     The pattern takes a space only at the front of a match, or inside a run of white space.
     """
-    return not (any(c + " " in text for c in _BLANK) or not text.isascii() and any(c in text for c in _RARE))
+    if any(c + " " in text for c in _BLANK) or not text.isascii() and any(c in text for c in _RARE):
+        return None
+    return text.split(" ")
 
 
-def by_spaces(text: str) -> list[str] | None:
-    return text.split(" ") if spaced(text) else None
+def unspaced() -> str:
+    """A pattern that is found in the texts for which by_spaces gives None."""
+    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in _BLANK) + "] |[" + "".join(f"\\x{{{ord(c):X}}}" for c in _RARE) + "]"
 
 
 class Tokenizer:

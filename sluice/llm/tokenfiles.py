@@ -8,6 +8,7 @@ A reader fetches the two tables and then only the frames of the documents it wan
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -23,14 +24,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import Chunks, chunks, spaced
+from .bpe import Chunks, chunks, unspaced
 from .common import held, parts_for, scratch, shared_dir, slices
 
 #: Fixed values of the seekable format: magic numbers, and the flag for checksums.
 _SKIP_TABLE, _SKIP_IDS, _SEEKABLE, _CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
 END_ID = 2
 #: Pieces in each of two generations whose ids are remembered.
-MAX_PIECES = 800_000
+MAX_PIECES = 700_000
+#: Pieces whose ids are put in place at once.
+AT_ONCE = 400_000
 #: Bytes of text that a file is meant to hold: the number of files grows with the table.
 FILE_BYTES = 64 << 20
 
@@ -112,6 +115,7 @@ class Library:
         self.tokenizer, self.room = Tokenizer.from_file(path), room
         vocabulary = self.tokenizer.get_vocab()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([unspaced(), *map(re.escape, self.added)])
         space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
@@ -123,21 +127,18 @@ class Library:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+    def encode_batch(self, texts: pa.Array) -> list[bytes]:
         """Packed ids of each text. Those that spaces alone can cut are cut, and their distinct pieces looked up, all at once."""
-        plain, out = [], [b""] * len(texts)
-        for k, text in enumerate(texts):
-            if not text:
-                continue
-            if any(t in text for t in self.added):
-                out[k] = self._ids(text)
-            elif spaced(text):
-                plain.append(k)
-            else:
-                out[k] = b"".join(map(self.first.__getitem__, chunks(text)))
-        if not plain:
+        out = [b""] * len(texts)
+        odd = pc.fill_null(pc.match_substring_regex(texts, self.odd), False).to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(odd).tolist():
+            text = texts[k].as_py()
+            out[k] = self._ids(text) if any(t in text for t in self.added) else b"".join(map(self.first.__getitem__, chunks(text)))
+        there = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) > 0
+        plain = np.flatnonzero(there & ~odd)
+        if not len(plain):
             return out
-        parts = pc.split_pattern(pa.array([texts[k] for k in plain], pa.large_string()), " ")
+        parts = pc.split_pattern(texts.take(pa.array(plain)).cast(pa.large_string()), " ")
         cuts = parts.offsets.to_numpy()
         coded = parts.values.dictionary_encode()
         codes, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
@@ -147,14 +148,20 @@ class Library:
         found = self._look_up(distinct) + [self.first[x] for x in heads]
         pool = np.frombuffer(b"".join(found), "<u4")
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts, lengths = (np.cumsum(lengths) - lengths)[codes], lengths[codes]
-        ends = np.cumsum(lengths)
-        places = np.repeat(starts - (ends - lengths), lengths)
-        places += np.arange(len(places))
-        ids = pool[places].tobytes()
-        borders = [0, *(4 * ends[cuts[1:] - 1]).tolist()]
-        for k, a, b in zip(plain, borders, borders[1:]):
-            out[k] = ids[a:b]
+        starts = np.cumsum(lengths) - lengths
+        at = 0
+        while at < len(plain):  # texts of some hundred thousand pieces at once, so that what is gathered stays small
+            to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + AT_ONCE, "right")) - 1)
+            some = codes[cuts[at] : cuts[to]]
+            sizes = lengths[some]
+            ends = np.cumsum(sizes)
+            places = np.repeat(starts[some] - (ends - sizes), sizes)
+            places += np.arange(len(places))
+            ids = pool[places].tobytes()
+            borders = [0, *(4 * ends[cuts[at + 1 : to + 1] - cuts[at] - 1]).tolist()]
+            for k, a, b in zip(plain[at:to].tolist(), borders, borders[1:]):
+                out[k] = ids[a:b]
+            at = to
         return out
 
     def _look_up(self, pieces: list[str]) -> list[bytes]:
@@ -203,8 +210,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
         path = f"part-{part:06d}-{uuid.uuid4().hex}.tok.zst"
         out = None
         for batch in batches:
-            for piece in slices(batch, 1):
-                for i, ids in zip(piece.column(0).to_pylist(), lib.encode_batch(piece.column(1).to_pylist())):
+            for piece in slices(batch, 1, 16_384, 16 << 20):
+                for i, ids in zip(piece.column(0).to_pylist(), lib.encode_batch(piece.column(1))):
                     if writer is None:
                         fs.create_dir(place, recursive=True)
                         out = fs.open_output_stream(f"{place}/{path}", compression=None)
