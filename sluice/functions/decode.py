@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.metrics import numbered
 from ..schema import DROP, ORDERED, UNKNOWN, UNORDERED
 
+#: Events of a log that a task goes through.
+STRETCH = 1 << 16
+
 
 def field(event: Column, path: str, default: str = "") -> Column:
     """A text field of an event kept as JSON; default where it is missing."""
@@ -38,14 +42,19 @@ def id_diff(log: DataFrame, by: tuple[str, ...] = (), sync_id: str = "sync_id")
     """log with id_diff: the signs of each id that differ from those at the same places of the id before it.
 
     The first is whole, an equal one is SAME, an empty one EMPTY (and is passed over by the next). `by` splits the log into
-    logs of their own; without it the order is one sequence, hence one task of two narrow columns.
+    logs of their own. A log is cut into stretches of its order, and each gets the event before it as well, so that none is
+    one task. Null and empty ids come first in the order.
     """
     ident = F.coalesce(F.col(sync_id), F.lit(""))
-    before = F.last(F.when(ident != "", ident), ignorenulls=True).over(Window.partitionBy(*by).orderBy(sync_id).rowsBetween(Window.unboundedPreceding, -1))
+    at = F.floor(F.col("place") / F.lit(STRETCH))
+    last = F.col("place") % STRETCH == STRETCH - 1
+    log = numbered(log, sync_id, by).withColumn("__at", F.explode(F.when(last, F.array(at, at + 1)).otherwise(F.array(at))))
+    before = F.last(F.when(ident != "", ident), ignorenulls=True).over(Window.partitionBy(*by, "__at").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
     places = F.sequence(F.lit(1), F.greatest(F.length(ident), F.lit(1)))
     signs = F.transform(places, lambda i: F.when(F.substr(ident, i, F.lit(1)) != F.substr(F.col("__before"), i, F.lit(1)), F.substr(ident, i, F.lit(1))).otherwise(F.lit("")))
     out = F.when(ident == "", "EMPTY").when(F.col("__before").isNull(), ident).when(ident == F.col("__before"), "SAME").otherwise(F.array_join(signs, ""))
-    return log.withColumn("__before", before).withColumn("id_diff", out).drop("__before")
+    found = log.withColumn("__before", before).where(F.col("__at") == at)
+    return found.withColumn("id_diff", out).drop("__before", "__at", "place")
 
 
 def op_label(db: Column, coll: Column, op: Column, diff: Column, there: Column | None = None) -> Column:

@@ -190,3 +190,17 @@ def test_throughput_over_stretches(spark, monkeypatch):
             t = sum(x[3] for x in ring)
             want[k] = sum(x[2] for x in ring) * 10**9 // t if t else 0
         assert {x["k"]: x["speed"] for x in metrics.throughput(df, "k", "n", "t", by, last=7).collect()} == want
+
+
+def test_id_diff_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(decode, "STRETCH", 7)
+    r = random.Random(8)
+    rows = [("ab"[r.randint(0, 1)], r.choice([f"{r.randint(0, 300):04d}", f"{r.randint(0, 300):04d}", ""])) for _ in range(120)] + [("a", None)]
+    want, before = [], {}
+    for w, i in sorted(rows, key=lambda x: (x[0], x[1] or "")):
+        p = before.get(w)
+        want.append((w, i, "EMPTY" if not i else i if p is None else "SAME" if p == i else "".join(b for a, b in zip(p, i) if a != b)))
+        before[w] = i or p
+    df = spark.createDataFrame(rows, "w string, i string").repartition(4)
+    got = [tuple(x) for x in decode.id_diff(df, ("w",), "i").select("w", "i", "id_diff").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
