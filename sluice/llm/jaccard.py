@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, held, scratch, small
+from .common import discard, fresh, held, scratch, small
 
 #: Words of a shingle; similarity as a fraction.
 WORDS, SHARE, OF = 5, 80, 100
@@ -286,10 +286,14 @@ def _groups(rows: DataFrame, nodes: DataFrame, frequent: np.ndarray) -> DataFram
     pivots = often.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
     every = rare.select("g", "node", "w").unionByName(often.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", F.lit(1).cast("long").alias("w")))
     every = scratch(every.join(small(nodes.select(F.col("node").alias("__n"), "n")), F.col("node") == F.col("__n")).drop("__n"), "groups")
+    discard(often)
     # nodes whose groups may suffice; without the others some groups have new pivots or are gone
     left = scratch(every.join(small(_enough(every)), F.col("node") == F.col("__n")).drop("__n"), "groups")
+    discard(every)
     pivots = left.groupBy("g").agg(F.min("node").alias("pivot"), F.max("node").alias("top")).where("pivot <> top").select(F.col("g").alias("g2"), "pivot")
-    return scratch(left.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "n", "pivot", "w"), "groups")
+    out = scratch(left.join(small(pivots), F.col("g") == F.col("g2")).select("g", "node", "n", "pivot", "w"), "groups")
+    discard(left)
+    return out
 
 
 def _ceil(a: Column, b: int) -> Column:
@@ -365,7 +369,9 @@ def _several(rest: DataFrame) -> DataFrame:
         return df.join(small(roots), F.col("g") == F.col("__g")).drop("__g")
 
     first = scratch(mixed(rest), "rest")
-    return scratch(mixed(first.join(small(_enough(first)), F.col("node") == F.col("__n")).drop("__n")), "rest")
+    out = scratch(mixed(first.join(small(_enough(first)), F.col("node") == F.col("__n")).drop("__n")), "rest")
+    discard(first)
+    return out
 
 
 def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
@@ -432,8 +438,10 @@ def _rooted(docs: DataFrame) -> DataFrame:
         nodes = scratch(told, "nodes")
         if nodes.where("mixed OR sizes > 0").isEmpty():  # else two sets have one hash: with another seed they haven't
             break
-    nodes = nodes.select("node", "n")
-    groups = _groups(rows, nodes, frequent)
+    wide, nodes = rows, nodes.select("node", "n")
+    groups = _groups(wide, nodes, frequent)
+    rows = scratch(wide.select("doc_id", "h", "node", "n"), "rows")  # prefixes are a large part of the disk and not needed again
+    discard(wide)
     totals = groups.groupBy("node").agg(F.sum("w").alias("total"), F.first("n").alias("n"))
     sides = [totals.select(F.col("node").alias(c), F.col("total").alias(f"total_{c}"), F.col("n").alias(f"n_{c}")) for c in "ab"]
     pairs = groups.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.sum("w").alias("w")).join(sides[0], "a").join(sides[1], "b")
@@ -454,14 +462,18 @@ def _rooted(docs: DataFrame) -> DataFrame:
     if few.select("doc_id").count() > owners.count():  # rows repeat, so that sets may
         packed = packed.groupBy("node").agg(F.first("s").alias("s"))
     sets = scratch(packed, "shingles")
+    discard(owners)
     links = scratch(_verify(pairs, sets), "links")
+    discard(pairs)
     first = components(links)
     # links across components, in groups that hold several
     rooted = groups.join(first.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left").select("g", "node", "n", "w", F.coalesce("root", "node").alias("root"))
     rest = _several(rooted)
+    discard(groups)
     if not rest.isEmpty():
         links = scratch(links.union(_across(rest, sets)), "links")
         first = components(links)
+    discard(sets)
     named = nodes.select("node").join(first, "node", "left").select(F.col("node").alias("__n"), F.coalesce("root", "node").alias("root"))
     out = rows.select("doc_id", "h", "node", "n").join(small(named), F.col("node") == F.col("__n"), "left")
     return out.select("doc_id", "h", "n", F.when(F.col("n") > 0, F.col("root")).alias("root"))

@@ -9,6 +9,7 @@ import struct
 import textwrap
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -17,7 +18,7 @@ pytest.importorskip("sluice.llm")
 from pyspark.sql import functions as F
 
 import public_tokenizers as P
-from sluice.llm import bpe, jaccard, language, licenses, mixing, quality, secrets, tokenfiles, topk, urls
+from sluice.llm import bpe, common, jaccard, language, licenses, mixing, quality, secrets, tokenfiles, topk, urls
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n int, size string, node string, words string"
@@ -344,6 +345,16 @@ def test_jaccard_appended_words(spark):
     assert got == {i: least[x] for i, x in enumerate(root)}
 
 
+def test_jaccard_discards(docs):
+    """Prefixes, groups and sets don't stay on disk once the components are known."""
+    shared = Path(common.shared_dir(docs.sparkSession).removeprefix("file:"))
+    before = set(shared.iterdir())
+    out = jaccard.jaccard_components(docs)
+    made = {p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before}
+    assert "rooted" in made and not made & {"sets", "frequent", "groups", "pairs", "owners", "shingles"}
+    assert out.count() == docs.count()
+
+
 def test_divide_skip():
     r = random.Random(4)
     sets = [np.unique(np.array(r.sample(range(60), r.randint(1, 50)), np.uint64)) for _ in range(150)]
