@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, scratch, small
+from .common import fresh, held, scratch, small
 
 #: Bytes that part words, and those that don't begin a code point.
 _SPACE = b" \t\n\v\f\r"
@@ -72,21 +72,23 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), len(raw.translate(None, _DROP)), len(raw) - len(raw.translate(None, _SYMBOLS)), dup, repeat
 
 
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """batches with the counts of their last column in its place. Tables that operators before left in this worker are freed."""
+    held("quality", dict)
+    names = [x.split()[0] for x in STATS.split(", ")]
+    for batch in batches:
+        rows = [text_stats(x.as_py()) for x in batch.column(batch.num_columns - 1)]
+        columns = list(zip(*rows)) if rows else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, pa.int64()) for c in columns)], names=[*batch.schema.names[:-1], *names])
+
+
 def with_stats(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """The columns `keep` and the five counts of each whole text."""
     narrow = docs.select(*keep, F.col(text).alias("__text"))
-    names = [x.split()[0] for x in STATS.split(", ")]
     schema = narrow.drop("__text").schema
-    for name in names:
-        schema = schema.add(name, "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [text_stats(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            columns = list(zip(*rows)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, pa.int64()) for c in columns)], names=[*batch.schema.names[:-1], *names])
-
-    return narrow.mapInArrow(run, schema)
+    for x in STATS.split(", "):
+        schema = schema.add(x.split()[0], "long")
+    return narrow.mapInArrow(count_batches, schema)
 
 
 def _measures() -> dict[str, Column]:

@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("sluice.llm")
@@ -443,6 +444,13 @@ def test_quality(docs, rows, spark, sf_dir):
     assert all(r["kept"] for r in clean)
 
 
+def test_quality_frees_tables():
+    """A worker that counts words doesn't keep what an operator before built in it."""
+    common.held("tables of an encoding", lambda: [0])
+    list(quality.count_batches(iter([pa.RecordBatch.from_pydict({"text": ["a b", None]})])))
+    assert "tables of an encoding" not in common._held
+
+
 def test_quality_groups(spark):
     """Fences follow each group: a document that one group keeps is dropped in another; held against exact quantiles."""
     r = random.Random(12)
